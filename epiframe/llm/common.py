@@ -111,3 +111,14 @@ def sha(data: bytes) -> str:
     import hashlib
 
     return hashlib.sha256(data).hexdigest()
+
+
+#: Sides of at most so many rows of a few numbers each are broadcast; larger ones are joined by shuffling.
+BROADCAST_ROWS = 300_000
+
+
+def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df (already written out), marked for broadcasting if a count shows it small."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, langid, urls
+from . import bpe, chat, decontaminate, langid, lines, simhash, urls
 
 
 def queries() -> dict:
@@ -11,9 +11,11 @@ def queries() -> dict:
         "op3_decontamination": decontaminate.op3_decontamination,
         "op4_chat_format": chat.op4_chat_format,
         "op6_language_id": langid.op6_language_id,
+        "op7_simhash": simhash.op7_simhash,
         "op8_url_filter": urls.op8_url_filter,
+        "op9_line_dedup": lines.op9_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": decontaminate.ORACLE, "op4_chat_format": chat.ORACLE, "op8_url_filter": urls.ORACLE}
+    return {"op3_decontamination": decontaminate.ORACLE, "op4_chat_format": chat.ORACLE, "op8_url_filter": urls.ORACLE, "op9_line_dedup": lines.ORACLE}
