@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, langid, lines, simhash, urls
+from . import bpe, chat, decontaminate, fingerprints, langid, lines, simhash, urls
 
 
 def queries() -> dict:
     return {
         "op1_byte_bpe": bpe.op1_byte_bpe,
+        "op2_fingerprints": fingerprints.op2_fingerprints,
         "op3_decontamination": decontaminate.op3_decontamination,
         "op4_chat_format": chat.op4_chat_format,
         "op6_language_id": langid.op6_language_id,
