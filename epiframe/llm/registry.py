@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, fingerprints, langid, lines, simhash, urls
+from . import bpe, chat, decontaminate, fingerprints, langid, lines, simhash, substrings, urls
 
 
 def queries() -> dict:
@@ -15,8 +15,9 @@ def queries() -> dict:
         "op7_simhash": simhash.op7_simhash,
         "op8_url_filter": urls.op8_url_filter,
         "op9_line_dedup": lines.op9_line_dedup,
+        "op10_substring_dedup": substrings.op10_substring_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": decontaminate.ORACLE, "op4_chat_format": chat.ORACLE, "op8_url_filter": urls.ORACLE, "op9_line_dedup": lines.ORACLE}
+    return {"op3_decontamination": decontaminate.ORACLE, "op4_chat_format": chat.ORACLE, "op8_url_filter": urls.ORACLE, "op9_line_dedup": lines.ORACLE, "op10_substring_dedup": substrings.ORACLE}
