@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, fingerprints, langid, lines, simhash, substrings, urls
+from . import bpe, chat, decontaminate, fingerprints, langid, lines, lm, simhash, substrings, urls
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_fingerprints": fingerprints.op2_fingerprints,
         "op3_decontamination": decontaminate.op3_decontamination,
         "op4_chat_format": chat.op4_chat_format,
+        "op5_lm_score": lm.op5_lm_score,
         "op6_language_id": langid.op6_language_id,
         "op7_simhash": simhash.op7_simhash,
         "op8_url_filter": urls.op8_url_filter,
