@@ -28,7 +28,8 @@ from .common import map_texts, share, table
 
 #: ASCII as words see it: capitals lower-cased, all that is neither digit nor letter a blank.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: A word in a text that keeps its capitals.
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 SHARD_CHARS = 4_000_000
 
 
