@@ -163,16 +163,17 @@ class Model:
 
 def train(df: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "doc_id", max_train: int = 4000, max_chars: int = 4_000_000) -> Model:
     """A model of at most max_train rows, and of as many in their order as hold max_chars together."""
-    order = F.crc32(F.col(key).cast("string"))
-    short = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text), F.col(lang), order.alias("o"))
-    # the texts that make up the bound are gathered; a text over the bound alone is no training row
-    short = short.where(F.length(text) <= max_chars // 20)
-    rows, held = [], 0
-    for r in short.orderBy("o", text).limit(max_train).toLocalIterator():
-        held += len(r[0])
+    order = F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")))
+    known = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text), F.col(lang), order.alias("o"), F.length(text).alias("n"))
+    # a text over a twentieth of the bound is no training row
+    known = known.where(F.col("n") <= max_chars // 20)
+    held, cut = 0, -1
+    for r in known.select("o", "n").orderBy("o", "n").limit(max_train).collect():
+        held += r.n
         if held > max_chars:
             break
-        rows.append((r[0], r[1]))
+        cut = r.o
+    rows = [(r[0], r[1]) for r in known.where(F.col("o") <= cut).orderBy("o", text, lang).select(text, lang).limit(max_train).collect()]
     return Model(rows)
 
 
