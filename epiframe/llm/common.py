@@ -113,6 +113,22 @@ def sha(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+def kept_where(df: DataFrame, make: Callable[[], Callable[[list], list[bool]]], *, text: str = "text") -> DataFrame:
+    """The rows of df, all columns as they are, for whose texts make()'s function says True."""
+    names, schema = [f"c{i}" for i in range(len(df.columns))], df.schema
+    own = names[df.columns.index(text)]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = None
+        for batch in batches:
+            for part in slices(batch, own):
+                work = work or make()
+                yield part.filter(pa.array(work(part.column(own).to_pylist()), pa.bool_()))
+
+    numbered = df.toDF(*names)
+    return numbered.mapInArrow(run, numbered.schema).toDF(*schema.names)
+
+
 #: Sides of at most so many rows of a few numbers each are broadcast; larger ones are joined by shuffling.
 BROADCAST_ROWS = 300_000
 

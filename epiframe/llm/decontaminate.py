@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_texts, share, table
+from .common import kept_where, map_texts, share, table
 
 #: ASCII as words see it: capitals lower-cased, all that is neither digit nor letter a blank.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -139,6 +139,19 @@ def scan(df: DataFrame, benchmark: DataFrame, *, size: int = 10, text: str = "te
     return map_texts(df, make, fields, text=text, keep=list(keep))
 
 
+def clean(df: DataFrame, benchmark: DataFrame, *, size: int = 10, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of df, all columns as they are, whose text holds no window of an item."""
+    for part in shards(load_items(benchmark, item_id, item_text), size):
+        shared = share(df.sparkSession, part)
+
+        def make(shared=shared):
+            scanner = Scanner(shared())
+            return lambda texts: [scanner.scan(t)[1] is None for t in texts]
+
+        df = kept_where(df, make, text=text)
+    return df
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(

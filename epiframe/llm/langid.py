@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_texts, share, table
+from .common import kept_where, map_texts, share, table
 
 # Language families by ISO 639-1 code. A code that is not here is a family of its own.
 FAMILIES = {
@@ -193,6 +193,17 @@ def identify(df: DataFrame, model: Model, *, text: str = "text", keep: list[str]
     return map_texts(df, make, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], text=text, keep=list(keep))
 
 
+def identified(df: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
+    """The rows of df, all columns as they are, whose text is not ``und``."""
+    shared = share(df.sparkSession, model)
+
+    def make():
+        own = shared()
+        return lambda texts: [lang != "und" for lang in own.predict(texts)[0]]
+
+    return kept_where(df, make, text=text)
+
+
 def held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))
 
