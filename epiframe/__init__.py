@@ -1 +1,8 @@
 """Spark-native annotation, statistics and release checks for episode data sets."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run on executors travel with their code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
