@@ -10,13 +10,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-import epiframe
-
-# Functions that run on executors travel with their code, so executors need no copy of this repository.
-cloudpickle.register_pickle_by_value(epiframe)
-
 #: Texts are worked on in slices of at most so many bytes; a single longer text is a slice of its own.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +68,7 @@ def map_texts(
     *,
     text: str = "text",
     keep: list[str],
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
     """df's kept columns with new ones that make()'s function computes from lists of texts.
 
@@ -87,7 +83,7 @@ def map_texts(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, limit):
                 work = work or make()
                 out = work(part.column(text).to_pylist(), part)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *out], names=names)
@@ -113,7 +109,7 @@ def sha(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def kept_where(df: DataFrame, make: Callable[[], Callable[[list], list[bool]]], *, text: str = "text") -> DataFrame:
+def kept_where(df: DataFrame, make: Callable[[], Callable[[list], list[bool]]], *, text: str = "text", limit: int = SLICE_BYTES) -> DataFrame:
     """The rows of df, all columns as they are, for whose texts make()'s function says True."""
     names, schema = [f"c{i}" for i in range(len(df.columns))], df.schema
     own = names[df.columns.index(text)]
@@ -121,7 +117,7 @@ def kept_where(df: DataFrame, make: Callable[[], Callable[[list], list[bool]]],
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
         for batch in batches:
-            for part in slices(batch, own):
+            for part in slices(batch, own, limit):
                 work = work or make()
                 yield part.filter(pa.array(work(part.column(own).to_pylist()), pa.bool_()))
 

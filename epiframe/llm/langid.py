@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import itertools
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ FAMILIES = {
     "slavic": ["be", "bg", "bs", "cs", "hr", "mk", "pl", "ru", "sk", "sl", "sr", "uk"],
 }
 BITS = 16
+#: Texts are predicted in slices of so many bytes: each byte takes some fifty bytes of arrays.
+SLICE = 1 << 20
 #: Bytes that stand for themselves; others of ASCII count as a blank.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 or b == 39 else 32 for b in range(256))
 
@@ -45,14 +48,14 @@ def folded(text: str) -> bytes:
     return b" " + b" ".join(text.encode().translate(FOLD).split()) + b" "
 
 
-def grams(data: np.ndarray) -> list[np.ndarray]:
-    """Feature numbers of the 1- to 4-grams that start at each byte (shorter ones at the end are left out)."""
+def grams(data: np.ndarray) -> Iterator[np.ndarray]:
+    """Feature numbers of the 1- to 4-grams that start at each byte (shorter ones at the end are left out), one array for each n."""
     x = data.astype(np.uint32)
-    out, code = [x], x
+    code = x
+    yield x
     for n in range(2, 5):
         code = (code[:-1] << np.uint32(8)) ^ x[n - 1 :] if n < 4 else code[:-1] * np.uint32(257) ^ (x[n - 1 :] << np.uint32(24))
-        out.append(((code * np.uint32(2654435761) + np.uint32(n)) >> np.uint32(32 - BITS)))
-    return out
+        yield (code * np.uint32(2654435761) + np.uint32(n)) >> np.uint32(32 - BITS)
 
 
 def means(texts: list[bytes], weights: np.ndarray) -> np.ndarray:
@@ -77,7 +80,7 @@ def means(texts: list[bytes], weights: np.ndarray) -> np.ndarray:
 def features(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     out = []
     for t in texts:
-        codes = np.concatenate(grams(np.frombuffer(t, np.uint8)))
+        codes = np.concatenate(list(grams(np.frombuffer(t, np.uint8))))
         at, n = np.unique(codes, return_counts=True)
         out.append((at, n / max(1, len(t))))
     return out
@@ -190,7 +193,7 @@ def identify(df: DataFrame, model: Model, *, text: str = "text", keep: list[str]
 
         return work
 
-    return map_texts(df, make, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], text=text, keep=list(keep))
+    return map_texts(df, make, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], text=text, keep=list(keep), limit=SLICE)
 
 
 def identified(df: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
@@ -201,7 +204,7 @@ def identified(df: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
         own = shared()
         return lambda texts: [lang != "und" for lang in own.predict(texts)[0]]
 
-    return kept_where(df, make, text=text)
+    return kept_where(df, make, text=text, limit=SLICE)
 
 
 def held_out(key: str = "doc_id"):
