@@ -63,7 +63,7 @@ def spillable_quantiles(rows: DataFrame, by: list[str], x: str = "x") -> DataFra
 def as_vectors(stats: DataFrame, by: list[str]) -> DataFrame:
     """Component rows as one row for each feature with an array for each metric, in component order."""
     rows = stats.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("component", *METRICS))).alias("c"))
-    return rows.select(*by, *(F.transform("c", lambda r, m=m: r[m]).alias(m) for m in METRICS))
+    return rows.select(*by, *(F.col(f"c.{m}").alias(m) for m in METRICS))
 
 
 def histogram(values: DataFrame, by: list[str], bin_column: str) -> DataFrame:

@@ -45,7 +45,9 @@ def read_jsonl(spark: SparkSession, path: str, limit: int = JSON_LIMIT) -> list[
 def jsonl_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines of any number as a table with line numbers within files and a flag for lines that do not fit."""
     text = spark.read.text(path).select(F.input_file_name().alias("file"), "value")
-    return text.withColumn("row", F.from_json("value", schema)).withColumn("bad", F.col("row").isNull() | (F.trim("value") == "")).select("file", "bad", "row.*")
+    row = F.from_json("value", f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    rows = text.withColumn("row", row).withColumn("bad", F.coalesce(F.col("row._bad").isNotNull(), F.lit(True)) | (F.trim("value") == ""))
+    return rows.select("file", "bad", "row.*").drop("_bad")
 
 
 def check_template(template: str, needed: set[str]) -> None:
