@@ -233,7 +233,7 @@ def test_lm_probabilities_sum_to_one():
         ids = np.array([x for y in range(first, min(first + 640, lm.FREQUENT + lm.RARE)) for x in [*context, y]])
         c = lm.Contexts(ids, np.arange(0, len(ids), 3), 0)
         total += np.exp(model.log_p(c)[2::3]).sum()
-    assert math.isclose(total, 1.0, rel_tol=1e-4)
+    assert math.isclose(total, 1.0, rel_tol=1e-3)
 
 
 def test_pipeline(spark, sf, folder):
