@@ -177,7 +177,7 @@ def run_refine(config: Config, episode: int, n: int, fps: float, coarse: dict, s
         samples = [x for row in zip(*got, strict=True) for x in row]  # by frame, then camera order
         used.append({"boundary": i, "stage": stage, "center": center, "radius": width, "stride": step, "cameras": own, "frames": frames, "pass_id": pass_id, "outcome": "model_oom"})
         answer = client.complete(refine_prompt(config, episode, n, start + i, start + i + 1, center, pass_id), samples, check_refine)
-        used[-1]["outcome"] = "completed"
+        used[-1] |= {"outcome": "completed", "answer": answer}
         return answer
 
     def fits(x: dict, i: int) -> bool:

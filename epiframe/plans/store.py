@@ -160,6 +160,11 @@ class Store:
         rows = spark.read.schema(kind).json(str(self.root / "episodes"), multiLine=True).selectExpr("inline(transitions)")
         return rows.withColumnRenamed("episode", "episode_index")
 
+    def bad_events(self, episode: int) -> list[str]:
+        """The ids of events that are not the digest of their own facts."""
+        r = self.load(episode)
+        return [e["event_id"] for e in r["transitions"] if e["event_id"] != event_id(r["run_fingerprint"], episode, e["from_status"], e["to_status"], e["timestamp"], e["event"], e["category"], e["reasons"])]
+
     def write_log(self) -> bool:
         """run.jsonl from the records' events in time order; written only if it differs."""
         events = [e for p in sorted((self.root / "episodes").glob("*.json")) for e in strict_loads(p.read_text(encoding="utf-8"), RECORD_LIMIT)["transitions"]]

@@ -13,7 +13,7 @@ import yaml
 from pyspark import cloudpickle
 
 from epiframe import cli, config
-from epiframe.operators import statistics, workspace
+from epiframe.operators import audit, statistics, workspace
 from epiframe.plans import evaluate, release
 from epiframe.plans.annotate import Services, annotate, augment
 from epiframe.plans.review_server import Views
@@ -194,6 +194,11 @@ def test_annotation_resumes_and_is_audited(spark, tmp_path):
     assert annotate(todo, c, FPS, SERVICES).count() == 0
     assert workspace.chain_issues(store.transitions(spark), store.records(spark)).count() == 0
     assert store.write_log() and not store.write_log()
+    assert store.bad_events(0) == []
+    r = store.load(0)
+    r["transitions"][1]["reasons"] = ["x"]
+    sinks.write_json(tmp_path / "copy/episodes/episode_000000.json", r)
+    assert Store(tmp_path / "copy").bad_events(0) == [r["transitions"][1]["event_id"]]
     assert {r.status: r.n for r in workspace.summary(store.records(spark)).collect()}["accepted"] == 2
     assert all(r.issues == [] for r in workspace.record_issues(store.records(spark)).collect())
     with pytest.raises(Conflict):
@@ -214,6 +219,34 @@ def test_memory_failures_degrade_once(spark, tmp_path):
     assert [u["stage"] for u in used] == ["broad", "broad_retry", "dense", "broad", "dense"] and all(u["cameras"] == ["top"] for u in used[1:])
 
 
+def test_decisions_replay(spark, tmp_path):
+    build(tmp_path / "source")
+
+    def short(prompt, frames, timeout):
+        if len({f.camera_key for f in frames}) > 1:
+            raise Transient("out of memory")
+        return send(prompt, frames, timeout)
+
+    c, store, _ = annotated(spark, tmp_path, Services(sample, short, no_sleep))
+    lengths = spark.createDataFrame(list(enumerate(LENGTHS)), "episode_index long, length long")
+    assert audit.audit(store.records(spark).join(lengths, "episode_index"), c, FPS).count() == 0
+    good = json.loads(store.load(0)["sampling_details"])
+
+    def changed(*path_and_value):
+        d = json.loads(json.dumps(good))
+        *path, last, value = path_and_value
+        x = d
+        for p in path:
+            x = x[p]
+        x[last] = value
+        return audit.audit_record(c, LENGTHS[0], FPS, json.dumps(d))
+
+    assert changed("coarse", "centers", [1, 2]) and changed("coarse", "grids", 0, [0]) and changed("coarse", "attempts", 0, "uncertain", True)
+    assert changed("refine", "boundaries", [20, 41]) and changed("refine", "provenance", 1, "stride", 1) and changed("refine", "provenance", [])
+    assert changed("refine", "status", "needs_review") and changed("refine", "reasons", ["model_oom"]) and changed("refine", "provenance", 0, "outcome", "completed")
+    assert audit.audit_record(c, 60, FPS, "[]") and not audit.audit_record(c, 60, FPS, "{}")
+
+
 def test_bad_answers_fail_an_episode(spark, tmp_path):
     build(tmp_path / "source")
     _, store, counts = annotated(spark, tmp_path, Services(sample, lambda p, f, t: "[]", no_sleep))
