@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -34,6 +36,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
             if not sc.master.startswith("local"):
                 raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             where = tempfile.mkdtemp(prefix="checkpoint-")
+            atexit.register(shutil.rmtree, where, ignore_errors=True)
         sc.setCheckpointDir(where)
     return df.checkpoint(eager=True)
 

@@ -7,8 +7,9 @@ what is left at the end of a text. Chunks of two lines or more that occur again
 for the first, by doc_id, then position. Chunks are found to be repeated by their digests, then
 compared by their bytes.
 
-Texts are read twice, and only texts of repeated chunks are shuffled; the removed chunks' numbers
-go back to the documents by broadcast if a count shows them few, else by a shuffle join.
+Only texts of repeated chunks are shuffled, and equal ones meet in their tasks first; the first
+places, and then the removed chunks' numbers, go back to the chunks and documents by broadcast if a
+count shows them few, else by a shuffle join, whose large partitions adaptive execution may split.
 
 Defined cases: null text stays null and has no lines; a text may become empty; rows with the same
 doc_id are the same document, so a repeated row does not make its chunks repeated; a null doc_id
@@ -50,8 +51,14 @@ def _removed(docs: DataFrame, key: str, text: str) -> DataFrame:
     chunks = chunks.select(F.struct("_key", "_no").alias("_at"), F.unhex(F.md5(F.col("_chunk.body").cast("binary"))).alias("_md5"), F.col("_chunk.body").alias("_body"))
     again = checkpointed(chunks.groupBy("_md5").agg(F.count("*").alias("n")).where("n > 1").select("_md5"))
     some = chunks.join(small_enough(again), "_md5", "left_semi")
-    first = some.groupBy("_md5", "_body").agg(F.min("_at").alias("_first"), F.count("*").alias("n")).where("n > 1")
-    gone = some.join(first, ["_md5", "_body"]).where("NOT (_at <=> _first)")
+    # chunks with equal bytes make a group, map-side first; what goes on is a digest and the first place
+    same = some.groupBy("_md5", "_body").agg(F.min("_at").alias("_first"), F.count("*").alias("n"))
+    first = same.where("n > 1").select("_md5", F.xxhash64("_body").alias("_more"), "_first")
+    alike = same.groupBy("_md5", F.xxhash64("_body").alias("_more")).agg(F.count("*").alias("n")).where("n > 1").select("_md5", "_more")
+    # chunks whose digests other bytes have too are left alone
+    first = checkpointed(first.join(alike, ["_md5", "_more"], "left_anti"))
+    digests = chunks.select("_at", "_md5", F.xxhash64("_body").alias("_more"))
+    gone = digests.join(small_enough(first), ["_md5", "_more"]).where("NOT (_at <=> _first)")
     return gone.groupBy(F.col("_at._key").alias("_key")).agg(F.sort_array(F.collect_set("_at._no")).alias("_gone"))
 
 
