@@ -26,38 +26,51 @@ def components(frames: DataFrame, features: list[str], keys: list[str]) -> DataF
 def feature_stats(frames: DataFrame, features: list[str], episode: str | None = None) -> DataFrame:
     """Minimum, maximum, mean, population deviation, count and exact quantiles (linear) of each feature's components.
 
-    With episode, grouping sets give a row for each episode and the global rows (its value null) in one
-    aggregation. Quantiles hold a count for each distinct value; ``spillable_quantiles`` is for
-    features of more distinct values than memory holds.
+    With episode there is a row for each episode too, the global rows having null for it. Moments are
+    partial sums; an episode's quantiles hold a count for each of its distinct values, and the global
+    ones come from ``rank_quantiles``, so no task ever holds a feature's values.
     """
-    rows = components(frames, features, [episode] if episode else [])
+    rows = components(frames, features, [])
+    by = ["feature", "component"]
+    out = rows.groupBy(*by).agg(*_moments("x")).join(rank_quantiles(rows, by), by)
+    columns = [*by, "min", "max", "mean", "std", "count", *QUANTILES]
+    if not episode:
+        return out.select(*columns)
+    own = components(frames, features, [episode])
     q = F.expr(f"percentile(x, array({', '.join(map(str, QUANTILES.values()))}))").alias("_q")
-    group = ["feature", "component"]
-    if episode:
-        grouped = rows.groupingSets([[F.col(episode), F.col("feature"), F.col("component")], [F.col("feature"), F.col("component")]], F.col(episode), F.col("feature"), F.col("component")).agg(*_moments("x"), q)
-        group = [episode, *group]
-    else:
-        grouped = rows.groupBy(*group).agg(*_moments("x"), q)
-    return grouped.select(*group, "min", "max", "mean", "std", "count", *(F.get("_q", i).alias(name) for i, name in enumerate(QUANTILES)))
+    own = own.groupBy(episode, *by).agg(*_moments("x"), q).select(episode, *by, "min", "max", "mean", "std", "count", *(F.get("_q", i).alias(name) for i, name in enumerate(QUANTILES)))
+    kind = frames.schema[episode].dataType
+    return own.unionByName(out.select(F.lit(None).cast(kind).alias(episode), *columns))
 
 
-def spillable_quantiles(rows: DataFrame, by: list[str], x: str = "x") -> DataFrame:
-    """Exact linear quantiles of x by the two ranks that each needs; a sort that spills, no map of values.
+def rank_quantiles(rows: DataFrame, by: list[str], x: str = "x", ranges: int = 65536) -> DataFrame:
+    """Exact linear quantiles of x for a few groups of any size, by selection of ranks.
 
-    Ranks are found from counts of distinct values, so a repeated value is one row, and only rows at
-    wanted ranks go on. The windows are by group and distinct value order.
+    Each group's values fall into equal ranges between its extremes; counts of the ranges say which few
+    of them hold wanted ranks; only those ranges' distinct values are counted and put in order, each
+    range by itself. Where far outliers put most values into one range, that range's order is a sort
+    that spills. Nulls count for nothing.
     """
-    counts = rows.where(F.col(x).isNotNull()).groupBy(*by, x).agg(F.count("*").alias("n"))
-    order = Window.partitionBy(*by).orderBy(x)
-    ranked = counts.withColumn("high", F.sum("n").over(order)).withColumn("total", F.sum("n").over(Window.partitionBy(*by)))
+    rows = rows.where(F.col(x).isNotNull()).select(*by, F.col(x).cast("double").alias("v"))
+    found = rows.groupBy(*by).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    part = F.when(F.col("hi") > F.col("lo"), F.least(F.lit(ranges - 1), F.floor((F.col("v") / ranges - F.col("lo") / ranges) / (F.col("hi") / ranges - F.col("lo") / ranges) * ranges))).otherwise(0)
+    dealt = rows.join(F.broadcast(found), by).select(*by, "v", part.cast("int").alias("r"))  # a row for each of a few groups
+    sizes = dealt.groupBy(*by, "r").agg(F.count("*").alias("n"))
+    order = Window.partitionBy(*by).orderBy("r")  # as many rows as ranges at most
+    sizes = sizes.withColumn("high", F.sum("n").over(order)).withColumn("total", F.sum("n").over(Window.partitionBy(*by)))
     wanted = F.array(*(F.struct(F.lit(name).alias("q"), F.lit(p).alias("p")) for name, p in QUANTILES.items()))
-    rows = ranked.select(*by, F.col(x).alias("v"), (F.col("high") - F.col("n")).alias("low"), "high", "total", F.explode(wanted).alias("w"))
-    at = (F.col("total") - 1) * F.col("w.p")
-    inside = [(F.col("low") <= r) & (r < F.col("high")) for r in (F.floor(at), F.ceil(at))]
-    rows = rows.where(inside[0] | inside[1])
-    found = rows.groupBy(*by, F.col("w.q").alias("q"), at.alias("at")).agg(F.min("v").alias("a"), F.max("v").alias("b"))
+    sizes = sizes.select(*by, "r", (F.col("high") - F.col("n")).alias("low"), "high", F.explode(wanted).alias("w"), ((F.col("total") - 1) * F.col("w.p")).alias("at"))
+    held = F.array_compact(F.array(*(F.when((F.col("low") <= rank) & (rank < F.col("high")), rank) for rank in (F.floor("at"), F.ceil("at")))))
+    sizes = sizes.select(*by, "r", "low", F.struct(F.col("w.q").alias("q"), F.col("at"), held.alias("ranks")).alias("w")).where(F.size("w.ranks") > 0)
+    sizes = sizes.groupBy(*by, "r", "low").agg(F.collect_list("w").alias("ws"))  # five at most
+    few = dealt.join(F.broadcast(sizes.select(*by, "r")), [*by, "r"], "left_semi").groupBy(*by, "r", "v").agg(F.count("*").alias("n"))
+    inside = Window.partitionBy(*by, "r").orderBy("v")
+    few = few.withColumn("last", F.sum("n").over(inside)).join(F.broadcast(sizes), [*by, "r"])
+    few = few.select(*by, "v", (F.col("low") + F.col("last") - F.col("n")).alias("a"), (F.col("low") + F.col("last")).alias("b"), F.explode("ws").alias("w"))
+    few = few.where(F.exists("w.ranks", lambda k: (k >= F.col("a")) & (k < F.col("b"))))
+    ends = few.groupBy(*by, F.col("w.q").alias("q"), F.col("w.at").alias("at")).agg(F.min("v").alias("a"), F.max("v").alias("b"))
     value = F.col("a") + (F.col("b") - F.col("a")) * (F.col("at") - F.floor("at"))
-    return found.select(*by, "q", value.alias("v")).groupBy(*by).pivot("q", list(QUANTILES)).agg(F.first("v"))
+    return ends.select(*by, "q", value.alias("v")).groupBy(*by).pivot("q", list(QUANTILES)).agg(F.first("v"))
 
 
 def as_vectors(stats: DataFrame, by: list[str]) -> DataFrame:

@@ -294,9 +294,9 @@ def stats_grouping_sets(spark, sf):
 
 
 @query(f"WITH {X_SQL} SELECT feature, round(quantile_cont(x, 0.01), 6) AS q01, round(quantile_cont(x, 0.1), 6) AS q10, round(quantile_cont(x, 0.5), 6) AS q50, round(quantile_cont(x, 0.9), 6) AS q90, round(quantile_cont(x, 0.99), 6) AS q99 FROM x GROUP BY feature")
-def stats_spillable_quantiles(spark, sf):
+def stats_rank_quantiles(spark, sf):
     rows = statistics.components(_items(spark, sf), FEATURES, [])
-    out = statistics.spillable_quantiles(rows, ["feature"])
+    out = statistics.rank_quantiles(rows, ["feature"])
     return out.select("feature", *(F.round(q, 6).alias(q) for q in ("q01", "q10", "q50", "q90", "q99")))
 
 

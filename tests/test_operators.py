@@ -18,7 +18,7 @@ def test_scalar_and_vector_statistics(spark):
     assert got[1, "x", 0].mean == 3.5 and len(got) == 9
     v = {r.feature: r for r in statistics.as_vectors(statistics.feature_stats(df, ["x", "v"]), ["feature"]).collect()}
     assert v["v"].mean == [4, 40] and v["x"]["count"] == [4]
-    s = statistics.spillable_quantiles(statistics.components(df, ["v"], []), ["feature", "component"]).orderBy("component").first()
+    s = statistics.rank_quantiles(statistics.components(df, ["v"], []), ["feature", "component"]).orderBy("component").first()
     assert round(s.q01, 9) == 1.06 and round(s.q90, 9) == 6.4
 
 
