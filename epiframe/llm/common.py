@@ -136,4 +136,4 @@ def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df (already written out), marked for broadcasting if a count shows it small."""
     from pyspark.sql import functions as F
 
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
