@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import Config
 from ..functions.jsontext import canonical, stable_hash, strict_loads
-from ..operators.workspace import edge_allowed  # noqa: F401  the same graph as columns
 from ..schemas import EDGES, HUMAN_EDGES, RECORD, STATUSES
 from ..sources.sinks import write_if_changed, write_json
 from .annotate import PROMPT_VERSION
