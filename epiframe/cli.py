@@ -38,7 +38,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         if name == "evaluate":
             c.add_argument("--golden", required=True)
             c.add_argument("--report", required=True)
-    sub.add_parser("validate").add_argument("root")
+    v = sub.add_parser("validate")
+    v.add_argument("root")
+    v.add_argument("--level", default="strict_structural", choices=sorted(release.LEVELS))
     try:
         a = p.parse_args(argv)
         config = configuration.load(a.config) if "config" in a else None
@@ -52,7 +54,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
 
         spark = SparkSession.builder.appName("epiframe").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if a.command == "validate":
-        bad = release.validate(spark, a.root).collect()
+        bad = release.validate(spark, a.root, a.level).collect()
         print(json.dumps([r.asDict() for r in bad]))
         return int(bool(bad))
     if a.command == "status":

@@ -23,6 +23,17 @@ def nonaccepted(records: DataFrame) -> DataFrame:
     return records.where("status <> 'accepted'").select("status", "episode_index")
 
 
+def summary_issues(counts: DataFrame, listed: DataFrame, total: int) -> DataFrame:
+    """(issue, subject) of a stored summary: counts (status, n) and its episode lists as rows (status, episode_index)."""
+    seen = listed.groupBy("status").agg(F.count("*").alias("_l"), F.count_distinct("episode_index").alias("_d"))
+    rows = counts.where("status <> 'accepted'").join(F.broadcast(seen), "status", "full_outer")
+    wrong = rows.where("coalesce(n, 0) <> coalesce(_l, 0) OR coalesce(_l, 0) <> coalesce(_d, 0)").select(F.lit("list_and_count").alias("issue"), F.col("status").alias("subject"))
+    sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).where(F.col("n") != total).select(F.lit("total"), F.col("n").cast("string"))
+    outside = listed.where((F.col("episode_index") < 0) | (F.col("episode_index") >= total)).select(F.lit("range"), F.col("episode_index").cast("string"))
+    twice = listed.groupBy("episode_index").agg(F.count_distinct("status").alias("n")).where("n > 1").select(F.lit("not_disjoint"), F.col("episode_index").cast("string"))
+    return wrong.union(sums).union(outside).union(twice)
+
+
 def status_counts(records: DataFrame) -> DataFrame:
     return records.groupBy("status").agg(F.count("*").alias("n"))
 

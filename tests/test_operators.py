@@ -107,6 +107,14 @@ def test_transition_chains(spark):
     assert got == {(1, "last_not_record"), (2, "first_not_pending"), (3, "time_not_increasing"), (3, "repeated_event_id")}
 
 
+def test_summaries(spark):
+    counts = spark.createDataFrame([("accepted", 3), ("failed", 1), ("pending", 1)], "status string, n long")
+    good = spark.createDataFrame([("failed", 4), ("pending", 0)], "status string, episode_index long")
+    assert workspace.summary_issues(counts, good, 5).count() == 0
+    bad = spark.createDataFrame([("failed", 0), ("pending", 0), ("pending", 9)], "status string, episode_index long")
+    assert {r.issue for r in workspace.summary_issues(counts, bad, 6).collect()} == {"list_and_count", "total", "range", "not_disjoint"}
+
+
 def test_decisions_and_budget(spark):
     d = spark.createDataFrame([(1, i, 3) for i in range(5)] + [(2, 0, 9)], "g long, o long, c long")
     assert review.within_budget(d, "g", "o", "c", 8).count() == 2
