@@ -8,8 +8,8 @@ place are worked on together.
 1. Anchors are counted over all texts. Those that occur once belong to windows that occur once.
    The others are marked in a bitmap of bounded size (a hash prefilter: what it lets through
    wrongly only costs work).
-2. The words under marked runs are the reference passages, each distinct one kept once with its
-   first place. They are dealt to shards by anchor, so passages that share a window share a shard.
+2. The words under marked runs are the reference passages. A task keeps of its passages those with
+   windows that are new to it, with their first places, by the same automata. They are dealt to shards by anchor, so passages that share a window share a shard.
    A shard streams them, in the order of their places, into suffix automata, one for each anchor:
    each step gives the matching statistic, the longest end of the passage so far that occurred
    before; where it reaches size words, the window that ends there is repeated. Automata are not
@@ -190,8 +190,26 @@ def marked(anchors: DataFrame, most_bits: int = MAX_BITS) -> Marks:
     return Marks(bits, data)
 
 
+def new_windows(passages: list[list[bytes]], size: int) -> Iterator[int]:
+    """For each passage of one anchor, in the order of their places, its windows that none before has, as bits."""
+    automaton = None
+    for n, w in enumerate(passages):
+        if n == 0:
+            yield (1 << (len(w) - size + 1)) - 1
+            continue
+        if automaton is None:
+            automaton = Automaton()
+            automaton.feed(passages[0])
+        yield sum(1 << i for i, m in enumerate(automaton.feed(w)[size - 1 :]) if m < size)
+
+
 def passages(rows: DataFrame, marks: Callable[[], Marks], size: int) -> DataFrame:
-    """(anchor, k, s, passage): the distinct passages of each slice of rows with their first places."""
+    """(anchor, k, s, skip, passage): the passages of each slice of rows that have windows new in the slice, cut to those.
+
+    s is the run's first window, skip how many windows are cut off before the passage. Equal passages
+    and passages with the same windows meet here first, so what is shuffled of copies, exact or near,
+    is little for each slice, however many there are.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, own = Words(), None
@@ -207,21 +225,36 @@ def passages(rows: DataFrame, marks: Callable[[], Marks], size: int) -> DataFram
                         p = (a, b" ".join(w[i : i + m + size - 1]))
                         if p not in first or (k, i) < first[p]:
                             first[p] = (k, i)
-                arrays = [pa.array([a for a, _ in first], pa.int64()), pa.array([k for k, _ in first.values()], pa.int64()), pa.array([s for _, s in first.values()], pa.int32()), pa.array([p for _, p in first], pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["anchor", "k", "s", "passage"])
-
-    return rows.mapInArrow(cut, "anchor long, k long, s int, passage binary")
+                by: dict[int, list] = {}
+                for (a, p), (k, i) in first.items():
+                    by.setdefault(a, []).append((k, i, p))
+                out = []
+                for a, held in by.items():
+                    if len(held) == 1:
+                        out.append((a, *held[0][:2], 0, held[0][2]))
+                        continue
+                    held.sort()
+                    split = [p.split() for _, _, p in held]
+                    for (k, i, _), w, fresh in zip(held, split, new_windows(split, size), strict=True):
+                        if fresh:
+                            low, high = (fresh & -fresh).bit_length() - 1, fresh.bit_length()
+                            out.append((a, k, i, low, b" ".join(w[low : high + size - 1])))
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+                columns = list(zip(*out, strict=True)) or [[]] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["anchor", "k", "s", "skip", "passage"])
+
+    return rows.mapInArrow(cut, "anchor long, k long, s int, skip int, passage binary")
 
 
 def fresh_windows(found: DataFrame, size: int) -> DataFrame:
     """(k, anchor, s, fresh): of the passages that have some, the windows (bits from the first on) that are new at the passage's first place."""
-    shards = found.repartition(partitions(found.sparkSession), "anchor").sortWithinPartitions("anchor", "k", "s", "passage")
+    shards = found.repartition(partitions(found.sparkSession), "anchor").sortWithinPartitions("anchor", "k", "s", "skip", "passage")
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen, automaton = None, {}, None
         for batch in batches:
             out: list[tuple] = []
-            for a, k, s, p in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for a, k, s, skip, p in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if a != own or not seen:
                     own, seen, automaton = a, {}, None
                 if p in seen:
@@ -237,7 +270,7 @@ def fresh_windows(found: DataFrame, size: int) -> DataFrame:
                     fresh = sum(1 << i for i, n in enumerate(automaton.feed(w)[size - 1 :]) if n < size)
                 seen[p] = None
                 if fresh:
-                    out.append((k, a, s, fresh))
+                    out.append((k, a, s, fresh << skip))
             columns = list(zip(*out, strict=True)) or [[]] * 4
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["k", "anchor", "s", "fresh"])
