@@ -391,11 +391,11 @@ def evidence_indices(spark, sf):
     return rows.select("episode_index", _joined("w").alias("frames"))
 
 
-@query("SELECT n_nationkey AS camera_order, CAST(round_even(2.5 * (n_nationkey + 5), 0) AS BIGINT) AS radius, greatest(1, CAST(round_even((n_nationkey + 5) / 8.0, 0) AS BIGINT)) AS stride, CAST(round_even(0.5 * (n_nationkey + 5), 0) AS BIGINT) AS dense_radius, abs(n_nationkey / 100 - 0.05) <= 0.01 AS fps_ok FROM nation")
+@query("SELECT n_nationkey AS camera_order, CAST(round_even(2.5 * (n_nationkey + 5), 0) AS BIGINT) AS radius, greatest(1, CAST(round_even((n_nationkey + 5) / 8.0, 0) AS BIGINT)) AS stride, CAST(round_even(0.5 * (n_nationkey + 5), 0) AS BIGINT) AS dense_radius, abs(10 + n_nationkey * 0.003::DOUBLE - 10.03::DOUBLE) <= 0.01 AS fps_ok FROM nation")
 def window_parameters(spark, sf):
     rows = A.cameras(spark, sf).withColumn("p", sampling.window_parameters(F.col("camera_order").cast("double") + 5))
-    # an hundredth apart is the edge of the tolerance: whole hundredths are compared in the same arithmetic
-    return rows.select(F.col("camera_order").cast(dict(A.table(spark, sf, "nation").dtypes)["n_nationkey"]).alias("camera_order"), "p.radius", "p.stride", "p.dense_radius", (F.abs(F.col("camera_order") / 100 - 0.05) <= 0.01).alias("fps_ok"))
+    kind = dict(A.table(spark, sf, "nation").dtypes)["n_nationkey"]
+    return rows.select(F.col("camera_order").cast(kind).alias("camera_order"), "p.radius", "p.stride", "p.dense_radius", sampling.fps_matches(10 + F.col("camera_order") * 0.003, 10.03).alias("fps_ok"))
 
 
 @query("SELECT event_id, least(99, greatest(0, CAST(floor(value * 3.0 + 0.5) AS BIGINT))) AS frame, CAST(floor(event_id / 7) AS BIGINT) AS chunk, event_id / 10.0::DOUBLE AS seconds FROM events")
