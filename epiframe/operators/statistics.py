@@ -43,7 +43,7 @@ def feature_stats(frames: DataFrame, features: list[str], episode: str | None =
     return own.unionByName(out.select(F.lit(None).cast(kind).alias(episode), *columns))
 
 
-def rank_quantiles(rows: DataFrame, by: list[str], x: str = "x", ranges: int = 65536) -> DataFrame:
+def rank_quantiles(rows: DataFrame, by: list[str], x: str = "x", ranges: int = 4096) -> DataFrame:
     """Exact linear quantiles of x for a few groups of any size, by selection of ranks.
 
     Each group's values fall into equal ranges between its extremes; counts of the ranges say which few
