@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import linking
 from .common import SLICE_BYTES, checkpointed, map_texts, partitions, share, table
 
 CLASS_BITS, PERIOD_BITS = 8, 12
@@ -108,31 +109,30 @@ def fingerprint(df: DataFrame, embedding: Embedding, *, text: str = "text", keep
 def near(df: DataFrame, embedding: Embedding, *, key: str = "doc_id", text: str = "text", bands: int = 16, sampled: int = 6, least: float = 0.8) -> DataFrame:
     """Pairs (a, b, likeness) of representatives, the least keys of equal fingerprints, of likeness least or more.
 
-    A band is a sample of slots. Within a band's bucket each representative is compared with the
-    bucket's first and with the one before it by fingerprint, not with all: the pairs connect groups
-    of alike documents, and a bucket of any size gives twice its size of candidates.
+    A band is a sample of slots. The pairs connect all alike representatives that meet in a band's
+    bucket (see ``linking``): those not yet connected are all compared, in buckets of any size.
     """
-    prints = checkpointed(fingerprint(df, embedding, text=text, keep=[key]).groupBy("fingerprint").agg(F.min(key).alias("rep")))
+    prints = checkpointed(fingerprint(df, embedding, text=text, keep=[key]).groupBy("fingerprint").agg(F.min(key).alias("rep")).where("rep IS NOT NULL"))
     rng = np.random.default_rng(5)
     picks = [sorted(rng.choice(embedding.slots, sampled, replace=False).tolist()) for _ in range(bands)]
     keys = F.array(*(F.xxhash64(F.lit(b), *(F.substring("fingerprint", p + 1, 1) for p in pick)) for b, pick in enumerate(picks)))
-    dealt = prints.select("rep", "fingerprint", F.explode(keys).alias("k"))
-    from pyspark.sql import Window
-
-    by = Window.partitionBy("k")
-    firsts = dealt.groupBy("k").agg(F.min(F.struct("rep", "fingerprint")).alias("other"))
-    a = dealt.join(firsts, "k").where(F.col("rep") != F.col("other.rep"))
-    b = dealt.withColumn("other", F.lag(F.struct("rep", "fingerprint")).over(by.orderBy("fingerprint"))).where("other IS NOT NULL")
-    pairs = a.select("rep", "fingerprint", "other").union(b.select("rep", "fingerprint", "other"))
-    pairs = pairs.select(F.least("rep", "other.rep").alias("a"), F.greatest("rep", "other.rep").alias("b"), F.col("fingerprint").alias("x"), F.col("other.fingerprint").alias("y"))
+    # rows of one key may have several fingerprints: nodes are fingerprints
+    node = F.xxhash64("fingerprint")
+    met = checkpointed(prints.select(node.alias("node"), F.explode(keys).alias("k")))
 
     def verify(batches):
         for m in batches:
-            like = [likeness(x, y) for x, y in zip(m.column("x").to_pylist(), m.column("y").to_pylist(), strict=True)]
-            t = pa.RecordBatch.from_arrays([m.column("a"), m.column("b"), pa.array(like, pa.float64())], names=["a", "b", "likeness"])
+            like = [likeness(x, y) for x, y in zip(m.column("p").to_pylist(), m.column("q").to_pylist(), strict=True)]
+            t = pa.RecordBatch.from_arrays([*(m.column(c) for c in ("x", "y", "a", "b")), pa.array(like, pa.float64())], names=["x", "y", "a", "b", "likeness"])
             yield t.filter(pa.array([v >= least for v in like], pa.bool_()))
 
-    return pairs.mapInArrow(verify, "a long, b long, likeness double").distinct()
+    def alike(pairs: DataFrame) -> DataFrame:
+        p = prints.select(node.alias("x"), F.col("fingerprint").alias("p"), F.col("rep").alias("a"))
+        q = prints.select(node.alias("y"), F.col("fingerprint").alias("q"), F.col("rep").alias("b"))
+        return pairs.join(p, "x").join(q, "y").select("x", "y", "a", "b", "p", "q").mapInArrow(verify, "x long, y long, a long, b long, likeness double")
+
+    found = linking.links(met, alike).where("a <> b")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness").distinct()
 
 
 def dealt_in_order(df: DataFrame, key: str, text: str) -> DataFrame:
