@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -160,8 +161,30 @@ def test_urls(spark, tmp_path):
 
 
 def test_digest_collisions_are_told_apart():
-    d = urls.Digests([("a.com", "/", "block")])
+    d = urls.Digests({("a.com", "/"): "block"})
     best = [None]
     d.rows = [("other.com", "/", "block")]  # as if another string had this digest
-    d.probe(d.mapped(), [("a.com", "/")], [0], best)
+    d.probe(d.mapped(), [("a.com", "/")], best)
     assert best == [None]
+
+
+def test_url_rules_hold_whatever_the_limit(spark):
+    rules = [("com", "/", "block"), ("a.com", "/", "allow"), ("b.com", "/x", "block"), ("com", "/", "allow"), ("a.com", "/", "block")]
+    given = ["http://q.com/", "http://a.com/y", "http://z.b.com/xy", None]
+    pages = spark.createDataFrame(list(enumerate(given)), "page_id long, url string")
+    for limit in (1, 2, 100):
+        got = {r.page_id: (r.rule, r.verdict) for r in urls.judge(pages, rules, limit=limit).collect()}
+        assert got == {0: ("com/", "allow"), 1: ("a.com/", "block"), 2: ("b.com/x", "block"), 3: (None, "allow")}
+
+
+def test_urls_with_long_hosts_and_clashing_columns(spark):
+    hosts = ["a." * 500_000 + "net", "a" * 1_000_000 + ".net", "." * 300_000, "x" * 100]
+    pages = spark.createDataFrame([(i, f"http://{h}/es/1", "own", "own") for i, h in enumerate(hosts)], "page_id long, url string, host string, rule string")
+    got = {r.page_id: r for r in urls.judge(pages, urls.RULES, keep=["page_id", "host"]).collect()}
+    assert [got[i].verdict for i in range(4)] == ["block", "block", "allow", "allow"] and all(got[i].host == h for i, h in enumerate(hosts))
+    assert urls.suffixes("d.c.b.a", [1, 2, 4], 3) == ["a", "b.a"] and urls.suffixes("a", [2], 9) == []
+    rng = random.Random(3)
+    for _ in range(500):
+        host = "".join(rng.choice("ab..") for _ in range(rng.randrange(9)))
+        every = [host] + [host[i + 1 :] for i, c in enumerate(host) if c == "."]
+        assert urls.suffixes(host, [1, 3], 4) == sorted((e for e in every if e.count(".") in (0, 2) and len(e) <= 4), key=len)
