@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
@@ -64,6 +65,18 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     yield batch.slice(start, n - start)
 
 
+def pieces(data: bytes, limit: int = SLICE_BYTES) -> Iterator[bytes]:
+    """The data in runs of some limit bytes that end at ASCII blanks, so that no word is cut; a longer word is whole."""
+    blank, start = re.compile(rb"[\x20\x09-\x0D]").search, 0
+    while len(data) - start > limit:
+        found = blank(data, start + limit)
+        if found is None:
+            break
+        yield data[start : found.end()]
+        start = found.end()
+    yield data[start:] if start else data
+
+
 def map_texts(
     df: DataFrame,
     make: Callable[[], Callable[[list, pa.RecordBatch], list[pa.Array]]],

@@ -50,7 +50,7 @@ def test_simhash_query(spark, sf):
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.op7_simhash(spark, sf).collect()} == want
 
 
-@pytest.mark.parametrize("bucket", [2, 64])
+@pytest.mark.parametrize("bucket", [8, 512])
 def test_simhash_groups_in_small_and_large_buckets(spark, bucket):
     rng = np.random.default_rng(bucket)
     prints = {}
@@ -72,18 +72,64 @@ def test_simhash_groups_in_small_and_large_buckets(spark, bucket):
     assert {r.fp & (2**64 - 1): r.component for r in got} == want
 
 
-def test_chain_pairs_are_all_pairs_of_the_bucket():
-    rng = np.random.default_rng(0)
-    fp = np.array([5 ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 4), replace=False)) for _ in range(60)], np.uint64).view(np.int64)
-    fp = np.unique(fp)
-    found = set()
-    for seg, (low, wide) in enumerate(simhash.segment_bits(3)):
-        key = (fp.view(np.uint64) >> np.uint64(low)) & np.uint64((1 << wide) - 1)
-        for v in np.unique(key):
-            own = fp[key == v]
-            a, b = simhash.chain_pairs(own, seg, 2)
-            found |= {frozenset((int(own[i]), int(own[j]))) for i, j in zip(a, b, strict=True)}
-    assert found == {frozenset((int(a), int(b))) for a in fp for b in fp if a < b and (int(a) ^ int(b)) & (2**64 - 1) and bin((int(a) ^ int(b)) & (2**64 - 1)).count("1") <= 2}
+def near_prints(rng, n, bits):
+    fp = np.array([5 ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, bits), replace=False)) for _ in range(n)], np.uint64).view(np.int64)
+    return np.unique(fp)
+
+
+@pytest.mark.parametrize("bits", [1, 2, 3, 9])
+def test_chain_pairs_are_all_pairs_of_the_bucket(bits):
+    fp = near_prints(np.random.default_rng(0), 120, bits + 2)
+    a, b = simhash.chain_pairs(fp, bits)
+    found = {frozenset((int(fp[i]), int(fp[j]))) for i, j in zip(a, b, strict=True)}
+    assert found == {frozenset((int(a), int(b))) for a in fp for b in fp if a < b and ((int(a) ^ int(b)) & (2**64 - 1)).bit_count() <= bits}
+
+
+def test_chain_prunes():
+    spread = np.array([0x1111_0000_0000_0000, 0x3, 0x1_0001_0001, 0x0001_0001_0001_0001], np.uint64)
+    assert simhash.chain(spread, 2, 4).tolist() == [False, True, False, False]
+    assert [m.bit_count() for m in simhash.cut(0, 4)] == [16] * 4 and sum(simhash.cut(0xFF, 3)) == 2**64 - 256
+
+
+def test_simhash_with_one_large_bucket(spark):
+    rng = np.random.default_rng(12)
+    own = np.unique(rng.integers(0, 2**32, 100_000, np.uint64))
+    own = np.unique(np.concatenate([own, own[:3000] ^ np.uint64(1 << 7), own[5000:6000] ^ np.uint64(1 << 9 | 1 << 30)]))
+    edges = set()
+    flips = [1 << i for i in range(32)] + [1 << i | 1 << j for i in range(32) for j in range(i)]
+    for f in flips:
+        other = own ^ np.uint64(f)
+        at = np.minimum(np.searchsorted(own, other), len(own) - 1)
+        hit = np.flatnonzero((own[at] == other) & (own < other))
+        edges |= set(zip(hit.tolist(), at[hit].tolist(), strict=True))
+    root = list(range(len(own)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in edges:
+        x, y = sorted((top(i), top(j)))
+        root[y] = x
+    want = {i: top(i) for i in range(len(own)) if top(i) != i}
+    wide = (own | np.uint64(0xABCD_1234 << 32)).view(np.int64).tolist()
+    prints = spark.createDataFrame(list(enumerate(wide)), "doc_id long, fp long").cache()
+    fp_of = dict(enumerate(wide))
+    got = {r.fp: r.component for r in simhash.groups(prints).collect()}
+    assert len(edges) >= 4000 and {i: got[fp_of[i]] for i in fp_of if got[fp_of[i]] != i} == want
+
+
+def test_simhash_of_long_texts_in_pieces(monkeypatch):
+    from epiframe.llm import common
+
+    text = " ".join(f"w{i % 37}\n" if i % 5 else f"W{i}\t" for i in range(3000)) + " x" * 50 + "y" * 500
+    whole = simhash.fingerprint(simhash.hashes(text, 3))
+    monkeypatch.setattr(simhash, "pieces", lambda data: common.pieces(data, 64))
+    assert len(list(simhash.hashes(text, 3))) > 100 and simhash.fingerprint(simhash.hashes(text, 3)) == whole == simhash.signed(plain_fingerprint(text))
+    assert b"".join(common.pieces(text.encode(), 10)) == text.encode()
+    for t in ("", " ", "a", " a b ", "a " * 90, None):
+        assert simhash.fingerprint(simhash.hashes(t, 3)) & (2**64 - 1) == plain_fingerprint(t)
 
 
 def test_simhash_cases(spark, folder):
