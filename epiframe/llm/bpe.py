@@ -3,9 +3,13 @@
 Pieces of text (the matches of the vocabulary's pattern) are encoded together: the distinct pieces
 of a batch that are no token themselves stand as rows of byte ids in padded matrices, bucketed by
 length. In each round every row merges its leftmost pair of least rank; pairs are found in an
-open-addressing hash table, and finished rows and merged cells are squeezed out when they are many.
+open-addressing hash table, and finished rows and merged cells are squeezed out when they are many. A
+piece of over LONG bytes is a row of its own, in which a round merges all places of the least rank,
+which is the same as one after another from the left unless a merge makes a pair of less rank; then
+it merges the leftmost alone. So rounds are bounded by the vocabulary, not by the piece.
 
-Null text counts as empty and gives no ids. Repeated rows each keep their row. An empty table gives
+Null text counts as empty and gives no ids; a text of any length is encoded whole, one over SLICE
+bytes in a slice of its own. Repeated rows each keep their row. An empty table gives
 an empty result. Other columns are not read unless they are named in ``keep``; a kept column that
 has the name of a result column is replaced by it.
 """
@@ -22,6 +26,9 @@ from pyspark.sql import types as T
 from .common import map_texts, schema_with, sha, share, table
 
 NONE = np.int32(2**31 - 1)
+LONG = 1024
+#: Texts are encoded in slices of so many bytes: each piece of them takes some sixty bytes.
+SLICE = 2 << 20
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -115,6 +122,8 @@ class Codec:
             whole = get(piece)
             if whole is not None:
                 out[i] = [whole]
+            elif len(piece) > LONG:
+                out[i] = self._merge_long(piece)
             else:
                 buckets.setdefault((len(piece) + 3) // 4 if len(piece) <= 32 else 8 + len(piece).bit_length(), []).append(i)
         for rows in buckets.values():
@@ -129,6 +138,36 @@ class Codec:
                 start = stop
         return out
 
+    def _merge_long(self, piece: bytes) -> list[int]:
+        ids = self.byte_id[np.frombuffer(piece, np.uint8)]
+        rank = self.pairs.find(ids[:-1], ids[1:])
+        while len(rank):
+            low = rank.min()
+            if low == NONE:
+                break
+            at = np.flatnonzero(rank == low)
+            # of places side by side every second one, from the left
+            run = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) > 1, np.arange(len(at)), 0))
+            at = at[(np.arange(len(at)) - run) % 2 == 0]
+            new_ids, new_rank = self._merged(ids, rank, at, low)
+            if len(at) > 1 and len(new_rank) and new_rank.min() < low:
+                new_ids, new_rank = self._merged(ids, rank, at[:1], low)
+            ids, rank = new_ids, new_rank
+        return ids.tolist()
+
+    def _merged(self, ids: np.ndarray, rank: np.ndarray, at: np.ndarray, to: int) -> tuple[np.ndarray, np.ndarray]:
+        """The row after its pairs at these places have become one id each, and its pairs' ranks."""
+        keep = np.ones(len(ids), bool)
+        keep[at + 1] = False
+        ids = ids.copy()
+        ids[at] = to
+        ids = ids[keep]
+        rank = np.delete(rank, at)
+        place = at - np.arange(len(at))
+        anew = np.concatenate([place[place > 0] - 1, place[place < len(rank)]])
+        rank[anew] = self.pairs.find(ids[anew], ids[anew + 1])
+        return ids, rank
+
     def _merge(self, pieces: list[bytes]) -> list[list[int]]:
         sizes = np.array([len(p) for p in pieces])
         wide = int(sizes.max())
@@ -218,7 +257,7 @@ def encode(df: DataFrame, coder: Codec, *, text: str = "text", keep: list[str] =
 
         return work
 
-    return map_texts(df, make, [T.StructField("n_tokens", T.LongType()), T.StructField(ids, T.ArrayType(T.IntegerType()))], text=text, keep=list(keep))
+    return map_texts(df, make, [T.StructField("n_tokens", T.LongType()), T.StructField(ids, T.ArrayType(T.IntegerType()))], text=text, keep=list(keep), limit=SLICE)
 
 
 def decode(df: DataFrame, coder: Codec, *, ids: str = "ids", keep: list[str] = ("doc_id",), out: str = "decoded") -> DataFrame:
@@ -257,7 +296,7 @@ def round_trip(df: DataFrame, coder: Codec, *, text: str = "text", keep: list[st
         return work
 
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
-    return map_texts(df, make, fields, text=text, keep=list(keep))
+    return map_texts(df, make, fields, text=text, keep=list(keep), limit=SLICE)
 
 
 def default_codec(vocabulary: str = "byte_bpe_multi_50k.tiktoken") -> Codec:

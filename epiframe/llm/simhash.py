@@ -25,11 +25,13 @@ doc_id is null has a null component. Only named columns are read.
 from __future__ import annotations
 
 import itertools
+import operator
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,6 +106,14 @@ def chain(apart: np.ndarray, max_bits: int, segments: int) -> np.ndarray:
     return ok
 
 
+def survives(a: Column, b: Column, max_bits: int, segments: int) -> Column:
+    """The chain, then the Hamming distance, on columns."""
+    apart = a.bitwiseXOR(b)
+    d = [F.bit_count(apart.bitwiseAND(F.lit(signed(m)))) for m in cut(0, segments)]
+    runs = [[sum((d[(f + j) % segments] for j in range(1, l)), d[f]) * segments <= l * max_bits for l in range(1, segments + 1)] for f in range(segments)]
+    return reduce(operator.or_, (reduce(operator.and_, run) for run in runs)) & (F.bit_count(apart) <= max_bits)
+
+
 def chain_pairs(fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The pairs of a bucket that the chain lets through and the Hamming distance confirms."""
     a, b = np.triu_indices(len(fp), 1)

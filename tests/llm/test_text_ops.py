@@ -34,7 +34,7 @@ def test_bpe_equals_the_library(spark, folder, tiktoken_encoding):
 def test_bpe_random_texts(tiktoken_encoding):
     rng = np.random.default_rng(3)
     letters = list("abcdeéñüß日 \n\t19!?'sS🙂\x00")
-    texts = ["".join(rng.choice(letters, n)) for n in rng.integers(0, 400, 200)] + ["ab" * 4000, "'" * 3000]
+    texts = ["".join(rng.choice(letters, n)) for n in rng.integers(0, 400, 200)] + ["ab" * 4000, "'" * 3000] + ["".join(rng.choice(list(x), n)) for x in ("ab", "aaab", "éaß日", "abcdefghijklmnopqrstuvwxyz") for n in (1025, 6000)]
     coder = bpe.default_codec()
     ids, at = coder.encode(texts)
     for i, t in enumerate(texts):
