@@ -125,8 +125,8 @@ def sha(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def kept_where(df: DataFrame, make: Callable[[], Callable[[list], list[bool]]], *, text: str = "text", limit: int = SLICE_BYTES) -> DataFrame:
-    """The rows of df, all columns as they are, for whose texts make()'s function says True."""
+def rewritten(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], *, text: str = "text", limit: int = SLICE_BYTES) -> DataFrame:
+    """df with slices of its rows changed by make()'s function, which keeps their columns; columns stand by their place, whatever their names."""
     names, schema = [f"c{i}" for i in range(len(df.columns))], df.schema
     own = names[df.columns.index(text)]
 
@@ -135,12 +135,23 @@ def kept_where(df: DataFrame, make: Callable[[], Callable[[list], list[bool]]],
         for batch in batches:
             for part in slices(batch, own, limit):
                 work = work or make()
-                yield part.filter(pa.array(work(part.column(own).to_pylist()), pa.bool_()))
+                yield work(part)
 
     numbered = df.toDF(*names)
     return numbered.mapInArrow(run, numbered.schema).toDF(*schema.names)
 
 
+def kept_where(df: DataFrame, make: Callable[[], Callable[[list], list[bool]]], *, text: str = "text", limit: int = SLICE_BYTES) -> DataFrame:
+    """The rows of df, all columns as they are, for whose texts make()'s function says True."""
+    at = df.columns.index(text)
+
+    def filtered():
+        work = make()
+        return lambda part: part.filter(pa.array(work(part.column(at).to_pylist()), pa.bool_()))
+
+    return rewritten(df, filtered, text=text, limit=limit)
+
+
 #: Sides of at most so many rows of a few numbers each are broadcast; larger ones are joined by shuffling.
 BROADCAST_ROWS = 300_000
 

@@ -5,19 +5,26 @@ whole text with ASCII letters lower-cased, digits and ASCII punctuation as blank
 classifier picks the language family; within the family, linear support vector machines, one for
 each pair of languages, vote. All are trained here by averaged stochastic subgradients of the
 hinge loss, on at most ``max_train`` labelled rows, those of the least crc32 of their id's text
-first (the documented bound: the model is a classifier of fixed size).
+first, which hold at most ``max_chars`` characters together (the documented bound: the model is a
+classifier of fixed size); a single text of over a twentieth of ``max_chars`` is no training row.
+
+``identified`` rejects documents: those without a letter, those most of whose letters are not of the
+learned alphabet (letters of two training rows at least), and those whose score is under
+``min_score``; 0.25 is what two decisions between equals give. With nothing learned there is no
+language to tell, and only documents without a letter go.
 
 Defined cases: null text, or text without a letter, is ``und`` with score 0. Without labelled rows
 every text is ``und``. One learned language is predicted for all, with score 1. Equal votes go to
-the larger summed margin, then to the language first in the alphabet. Repeated rows each keep
-their row; only named columns are read.
+the larger summed margin, then to the language first in the alphabet. Texts of any length are judged
+whole, in blocks of bounded size. Repeated rows each keep their row; only named columns are read.
 """
 
 from __future__ import annotations
 
 import itertools
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import kept_where, map_texts, share, table
+from .common import map_texts, pieces, rewritten, share, table
 
 # Language families by ISO 639-1 code. A code that is not here is a family of its own.
 FAMILIES = {
@@ -45,7 +52,8 @@ def family(lang: str) -> str:
 
 
 def folded(text: str) -> bytes:
-    return b" " + b" ".join(text.encode().translate(FOLD).split()) + b" "
+    parts = (b" ".join(p.split()) for p in pieces(text.encode().translate(FOLD)))
+    return b" " + b" ".join(p for p in parts if p) + b" "
 
 
 def grams(data: np.ndarray) -> Iterator[np.ndarray]:
@@ -58,22 +66,24 @@ def grams(data: np.ndarray) -> Iterator[np.ndarray]:
         yield (code * np.uint32(2654435761) + np.uint32(n)) >> np.uint32(32 - BITS)
 
 
-def means(texts: list[bytes], weights: np.ndarray) -> np.ndarray:
-    """For each text the mean weight vector of its features; weights: features by outputs."""
+def means(texts: list[bytes], weights: np.ndarray, block: int = SLICE) -> np.ndarray:
+    """For each text the mean weight vector of its features; weights: features by outputs. A block of bytes at a time."""
     if not texts:
         return np.zeros((0, weights.shape[1]))
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     starts = np.cumsum(sizes) - sizes
     total = np.zeros((len(texts), weights.shape[1]))
-    for n, code in enumerate(grams(data), 1):
-        if not len(code):
-            continue
-        # grams that run into the next text count for the text they start in; each text ends in a blank
-        for k in range(weights.shape[1]):
-            sums = np.concatenate([[0.0], np.cumsum(weights[:, k][code], dtype=np.float64)])
-            ends = np.minimum(starts + sizes, len(code))
-            total[:, k] += sums[ends] - sums[np.minimum(starts, len(code))]
+    for at in range(0, len(data), block):
+        first, last = np.searchsorted(starts, [at, at + block], "left")
+        some = slice(max(0, first - 1), last)
+        for n, code in enumerate(grams(data[at : at + block + 3]), 1):
+            code = code[:block]
+            a = np.clip(starts[some] - at, 0, len(code))
+            b = np.maximum(a, np.clip(starts[some] + sizes[some] - (n - 1) - at, 0, len(code)))
+            for k in range(weights.shape[1] if len(code) else 0):
+                sums = np.concatenate([[0.0], np.cumsum(weights[:, k][code], dtype=np.float64)])
+                total[some, k] += sums[b] - sums[a]
     return total / np.maximum(1, sizes)[:, None]
 
 
@@ -114,6 +124,7 @@ class Model:
         rows, lang = features(texts), np.array([x for _, x in labelled], object)
         fam = np.array([family(x) for x in lang], object)
         self.columns, weights = [], []
+        self.alphabet = "".join(sorted(c for c, n in Counter(c for t, _ in labelled for c in set(t)).items() if n > 1 and c.isalpha()))
 
         def learn(kind, a, b, sign):
             at = np.flatnonzero(sign)
@@ -167,17 +178,12 @@ class Model:
 def train(df: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "doc_id", max_train: int = 4000, max_chars: int = 4_000_000) -> Model:
     """A model of at most max_train rows, and of as many in their order as hold max_chars together."""
     order = F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")))
-    known = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text), F.col(lang), order.alias("o"), F.length(text).alias("n"))
-    # a text over a twentieth of the bound is no training row
-    known = known.where(F.col("n") <= max_chars // 20)
-    held, cut = 0, -1
-    for r in known.select("o", "n").orderBy("o", "n").limit(max_train).collect():
-        held += r.n
-        if held > max_chars:
-            break
-        cut = r.o
-    rows = [(r[0], r[1]) for r in known.where(F.col("o") <= cut).orderBy("o", text, lang).select(text, lang).limit(max_train).collect()]
-    return Model(rows)
+    known = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("t"), F.col(lang).alias("l"), order.alias("o"), F.length(text).alias("n"))
+    known = known.where(F.col("n") <= max_chars // 20).select("*", F.xxhash64("t", "l").alias("h"))
+    sizes = known.select("o", "n", "h").orderBy("o", "n", "h").limit(max_train).collect()
+    take = int(np.searchsorted(np.cumsum([r.n for r in sizes]), max_chars, "right")) if sizes else 0
+    rows = known.where(F.col("o") <= sizes[take - 1].o).orderBy("o", "n", "h").limit(take).select("t", "l").collect() if take else []
+    return Model([(r.t, r.l) for r in rows])
 
 
 def identify(df: DataFrame, model: Model, *, text: str = "text", keep: list[str] = ("doc_id",)) -> DataFrame:
@@ -196,15 +202,44 @@ def identify(df: DataFrame, model: Model, *, text: str = "text", keep: list[str]
     return map_texts(df, make, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], text=text, keep=list(keep), limit=SLICE)
 
 
-def identified(df: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
-    """The rows of df, all columns as they are, whose text is not ``und``."""
+def shares(text: str, tables: list[np.ndarray], block: int = SLICE) -> list[int]:
+    """How many of a text's characters each table of code points has as true."""
+    out = [0] * len(tables)
+    for i in range(0, len(text), block):
+        codes = np.frombuffer(text[i : i + block].encode("utf-32-le"), np.uint32)
+        for k, t in enumerate(tables):
+            out[k] += int(np.count_nonzero(t[codes]))
+    return out
+
+
+def identified(df: DataFrame, model: Model, *, text: str = "text", lang: str = "lang", min_score: float = 0.25, languages: list[str] | None = None) -> DataFrame:
+    """The rows of df whose language is identified (as one of languages, if given), all columns as they are, but for a null lang, which is filled in."""
     shared = share(df.sparkSession, model)
+    at, to = df.columns.index(text), df.columns.index(lang)
 
     def make():
         own = shared()
-        return lambda texts: [lang != "und" for lang in own.predict(texts)[0]]
+        any_letter = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+        known = np.zeros(0x110000, bool)
+        known[[ord(c) for c in own.alphabet]] = True
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            n, seen = np.array([shares(t, [any_letter, known]) for t in texts]).T
+            keep = n > 0
+            said = batch.column(to).to_pylist()
+            if own.langs:
+                found, score = own.predict(texts)
+                keep &= (2 * seen >= n) & (np.array(score) >= min_score)
+                if languages is not None:
+                    keep &= np.isin(found, languages)
+                said = [x if x is not None else y for x, y in zip(said, found, strict=True)]
+            columns = [pa.array(said, c.type) if i == to else c for i, c in enumerate(batch.columns)]
+            return pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(pa.array(keep))
+
+        return work
 
-    return kept_where(df, make, text=text, limit=SLICE)
+    return rewritten(df, make, text=text, limit=SLICE)
 
 
 def held_out(key: str = "doc_id"):

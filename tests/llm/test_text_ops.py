@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 from helpers import TEXTS, documents, written
+from pyspark.sql import functions as F
 
 from epiframe.llm import bpe, chat, decontaminate, fingerprints, langid, urls
 
@@ -139,9 +140,78 @@ def test_language_id_cases(spark, folder):
     kept = langid.identified(docs, langid.train(docs))
     assert kept.columns == docs.columns and kept.count() == 7
     nobody = langid.Model([])
+    # with nothing learned only texts without a letter go
+    assert langid.identified(docs, nobody).count() == 7 and langid.identified(docs.withColumn("lang", F.lit(None).cast("string")), nobody).count() == 7
     assert {r.lang_pred for r in langid.identify(docs, nobody).collect()} == {"und"}
 
 
+def learned(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet").where("text IS NOT NULL").orderBy("doc_id").collect()
+    return rows, langid.Model([(r.text, r.lang) for r in rows if r.doc_id % 4])
+
+
+def plain_prediction(m, text):
+    """Language and score by a walk over the n-grams and a count of votes."""
+    d = langid.folded(text)
+    margin = [0.0] * len(m.columns)
+    for n in range(1, 5):
+        for i in range(len(d) - n + 1):
+            g = d[i : i + n]
+            code = 0
+            for c in g[:3]:
+                code = (code << 8) ^ c
+            if n == 4:
+                code = code * 257 ^ (g[3] << 24)
+            at = code if n == 1 else ((code * 2654435761 + n) & (2**32 - 1)) >> 16
+            for k in range(len(margin)):
+                margin[k] += float(m.weights[at, k]) / len(d)
+
+    def vote(kind, names):
+        best = None
+        for x in names:
+            own = [v if a == x else -v for (of, a, b), v in zip(m.columns, margin, strict=True) if of == kind and x in (a, b)]
+            wins = sum(v > 0 for v in own)
+            if best is None or (wins, sum(own)) > best[0]:
+                best = (wins, sum(own)), x, min(own, default=np.inf)
+        return best[1], 1 / (1 + np.exp(-min(30, best[2])))
+
+    f, p = vote("family", m.families)
+    lang, q = vote(f, [x for x in m.langs if langid.family(x) == f])
+    return lang, p * q
+
+
+def test_language_id_equals_a_plain_vote(spark, sf):
+    rows, m = learned(spark, sf)
+    texts = sorted((r.text for r in rows if r.text), key=len)[:40]
+    lang, score = m.predict(texts)
+    for t, a, b in zip(texts, lang, score, strict=True):
+        want = plain_prediction(m, t)
+        assert a == want[0] and abs(b - want[1]) < 1e-6
+
+
+def test_language_id_works_in_blocks(spark, sf):
+    rows, m = learned(spark, sf)
+    texts = [langid.folded(t) for t in ["", "a", *(r.text for r in rows[:60])]]
+    whole = langid.means(texts, m.weights)
+    for block in (1, 7, 1000):
+        some = texts[:12] if block == 1 else texts
+        assert np.allclose(langid.means(some, m.weights, block), whole[: len(some)], rtol=1e-9, atol=1e-9)
+    assert langid.shares("aé日1 ", [np.array([chr(i).isalpha() for i in range(0x110000)])], 2) == [3]
+    assert langid.folded("a  1 " * 3_000_000) == b" " + b"a " * 3_000_000
+
+
+def test_language_stage_decides(spark, sf):
+    rows, m = learned(spark, sf)
+    other = [(1, "Это русский текст о погоде и о людях, которые живут в городе.", None), (2, "日本語のテキストです。今日は天気がいいですね。", "en"), (3, "123 !", "en"), (4, None, "en")]
+    clean = [(10 + i, r.text, None if i % 2 else "xx") for i, r in enumerate(rows[:40])]
+    docs = spark.createDataFrame(other + clean, "doc_id long, text string, lang string")
+    kept = {r.doc_id: r for r in langid.identified(docs, m).collect()}
+    assert set(kept) == {i for i, _, _ in clean}
+    assert all(kept[i].lang == (said or m.predict([t])[0][0]) for i, t, said in clean)
+    assert {r.doc_id for r in langid.identified(docs, m, languages=["de"]).collect()} == {i for i, t, _ in clean if m.predict([t])[0] == ["de"]}
+    assert langid.identified(docs, m, min_score=1.0).count() == 0
+
+
 def brute_judge(url):
     host, path = urls.parts(url)
     fit = [(len(h + p), h + p, v) for h, p, v in urls.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
