@@ -87,11 +87,5 @@ def data_url(jpeg) -> Column:
     return F.concat(F.lit("data:image/jpeg;base64,"), F.regexp_replace(F.base64(_col(jpeg)), r"\s", ""))
 
 
-def checksum_rollup(path: str, digest: str) -> Column:
-    """An aggregate over files: the digest of path, NUL, digest, newline in path order."""
-    line = F.struct(F.col(path).alias("p"), F.concat(F.col(path), F.lit("\0"), F.col(digest), F.lit("\n")).alias("l"))
-    return F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(line)), lambda x: x["l"]), ""), 256)
-
-
 def payload_megabytes(length: str) -> Column:
     return F.sum(length) / 1048576.0

@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def running_offsets(episodes: DataFrame, length: str = "length", order: str = "episode_index", blocks: int = 64) -> DataFrame:
+def range_of(key: str, cuts: list) -> Column:
+    """How many of the ascending cuts are under the key, by binary search."""
+    if not cuts:
+        return F.lit(0)
+    listed = F.array(*map(F.lit, cuts))
+    steps = F.array(*(F.lit(1 << s) for s in reversed(range(len(cuts).bit_length()))))
+    return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(F.get(listed, at + step - 1) < F.col(key), step).otherwise(0))
+
+
+def running_offsets(episodes: DataFrame, length: str = "length", order: str = "episode_index") -> DataFrame:
     """episodes with output_index (dense, from 0) and global_offset (the lengths before).
 
-    Ranks and sums over all rows need one order; they are made from range partitions: each partition
-    numbers its own rows, and only the partitions' totals are added up in one place.
+    Ranks and sums over all rows need one order; they are made from range partitions, as many as a
+    shuffle has: each numbers its own rows, and only the partitions' totals are added up in one place.
     """
-    spark = episodes.sparkSession
-    n = min(blocks, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    keys = episodes.agg(F.percentile_approx(order, [i / n for i in range(1, n)] or [0.5], 1000)).first()[0] or []
-    cuts = sorted(set(keys))
-    part = F.lit(0)
-    for c in cuts:
-        part = part + (F.col(order) > c).cast("int")
-    rows = episodes.withColumn("_part", part)
+    n = int(episodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = episodes.agg(F.percentile_approx(order, [i / n for i in range(1, n)] or [0.5], 10 * n + 100)).first()[0] or []
+    rows = episodes.withColumn("_part", range_of(order, sorted(set(keys))))
     totals = rows.groupBy("_part").agg(F.count("*").alias("_n"), F.sum(length).alias("_s"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as parts
     base = totals.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_rows"), F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_frames"))
@@ -29,6 +34,42 @@ def running_offsets(episodes: DataFrame, length: str = "length", order: str = "e
     return out.select(*episodes.columns, (F.col("_rows") + F.col("_row")).cast("long").alias("output_index"), (F.col("_frames") + F.col("_inner")).cast("long").alias("global_offset"))
 
 
+def ordered_digest(files: DataFrame, path: str, digest: str) -> str:
+    """The digest of path, NUL, digest, newline of all rows in path order: a sorted table streams by, a partition at a time."""
+    import hashlib
+
+    h = hashlib.sha256()
+    for r in files.select(path, digest).orderBy(path).toLocalIterator():
+        h.update(f"{r[0]}\0{r[1]}\n".encode())
+    return h.hexdigest()
+
+
+def digest_rollup(files: DataFrame, by: str, path: str, digest: str) -> DataFrame:
+    """(by, rollup): ``ordered_digest`` of each group. A group's lines stream through one task in order and are never held together."""
+    kind = files.schema[by].dataType.simpleString()
+
+    def run(batches):
+        import hashlib
+
+        own, h = None, None
+        for b in batches:
+            groups, lines = [], []
+            for g, p, d in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if h is None or g != own:
+                    if h is not None:
+                        groups.append(own)
+                        lines.append(h.hexdigest())
+                    own, h = g, hashlib.sha256()
+                h.update(f"{p}\0{d}\n".encode())
+            yield pa.RecordBatch.from_arrays([pa.array(groups, b.schema.types[0]), pa.array(lines, pa.string())], names=[by, "rollup"])
+            last = b.schema.types[0]
+        if h is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([own], last), pa.array([h.hexdigest()])], names=[by, "rollup"])
+
+    ordered = files.select(by, path, digest).repartition(by).sortWithinPartitions(by, path)
+    return ordered.mapInArrow(run, f"`{by}` {kind}, rollup string")
+
+
 def remap(records: DataFrame, lengths: DataFrame, status: str = "accepted") -> DataFrame:
     """(source_index, output_index, length, global_offset) of the episodes with the status."""
     own = records.where(F.col("status") == status).join(lengths, "episode_index").select("episode_index", "length")

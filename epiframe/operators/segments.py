@@ -56,11 +56,17 @@ def label_frames(frames: DataFrame, annotations: DataFrame, subtasks: int) -> Da
     return joined.withColumn("subtask_index", segment_at("frame_index", "start_subtask_index", "boundaries", subtasks)).drop("start_subtask_index", "boundaries")
 
 
-def label_by_intervals(frames: DataFrame, segments: DataFrame) -> DataFrame:
-    """frames with the segment_index whose start_frame <= frame_index < end_frame holds, for segments of any origin."""
+def label_by_intervals(frames: DataFrame, segments: DataFrame, block: int = 256) -> DataFrame:
+    """frames with the segment_index whose start_frame <= frame_index < end_frame holds, for segments of any origin, overlapping ones too.
+
+    Both sides are dealt to blocks of frames, so a frame meets only the segments that touch its block,
+    and a long episode is as many keys as it has blocks.
+    """
+    own = segments.where("end_frame > start_frame").select(F.col("episode_index").alias("_e"), "segment_index", "start_frame", "end_frame")
+    own = own.withColumn("_b", F.explode(F.sequence(F.floor(F.col("start_frame") / block), F.floor((F.col("end_frame") - 1) / block))))
     held = (F.col("frame_index") >= F.col("start_frame")) & (F.col("frame_index") < F.col("end_frame"))
-    own = segments.select(F.col("episode_index").alias("_e"), "segment_index", "start_frame", "end_frame")
-    return frames.join(own, (F.col("episode_index") == F.col("_e")) & held).drop("_e", "start_frame", "end_frame")
+    on = (F.col("episode_index") == F.col("_e")) & (F.floor(F.col("frame_index") / block) == F.col("_b")) & held
+    return frames.join(own, on).drop("_e", "_b", "start_frame", "end_frame")
 
 
 def durations(segments: DataFrame, by: str = "label") -> DataFrame:

@@ -23,36 +23,66 @@ def components(frames: DataFrame, features: list[str], keys: list[str]) -> DataF
     return rows.select(*keys, "p.feature", F.posexplode("p.values").alias("component", "x"))
 
 
+def _wide(frames: DataFrame, features: list[str], by: list[str], quantiles: bool) -> DataFrame:
+    """(by, feature, component, moments, quantiles if wanted) of features that are single numbers: aggregates side by side, no row for each value."""
+    rows = frames.select(*by, *(F.col(f).cast("double").alias(f"_{i}") for i, f in enumerate(features)))
+    q = f"array({', '.join(map(str, QUANTILES.values()))})"
+    columns, structs = [], []
+    for i, f in enumerate(features):
+        own = _moments(f"_{i}") + ([F.expr(f"percentile(_{i}, {q})").alias("q")] if quantiles else [])
+        columns.append(F.struct(*own).alias(f"s{i}"))
+        fields = [F.col(f"s{i}.{m}").alias(m) for m in ("min", "max", "mean", "std", "count")]
+        fields += [F.get(f"s{i}.q", F.lit(k)).alias(name) for k, name in enumerate(QUANTILES)] if quantiles else []
+        structs.append(F.struct(F.lit(f).alias("feature"), F.lit(0).alias("component"), *fields))
+    found = rows.groupBy(*by).agg(*columns) if by else rows.agg(*columns)
+    return found.select(*by, F.explode(F.array(*structs)).alias("x")).select(*by, "x.*")
+
+
+def _long(frames: DataFrame, features: list[str], by: list[str], quantiles: bool) -> DataFrame:
+    """What ``_wide`` gives, of features that are arrays."""
+    keys = [*by, "feature", "component"]
+    q = [F.expr(f"percentile(x, array({', '.join(map(str, QUANTILES.values()))}))").alias("q")] if quantiles else []
+    found = components(frames, features, by).groupBy(*keys).agg(*_moments("x"), *q)
+    return found.select(*keys, "min", "max", "mean", "std", "count", *((F.get("q", F.lit(k)).alias(name) for k, name in enumerate(QUANTILES)) if quantiles else ()))
+
+
+def _figures(frames: DataFrame, features: list[str], by: list[str], quantiles: bool) -> DataFrame:
+    kinds = dict(frames.dtypes)
+    arrays = [f for f in features if kinds[f].startswith("array")]
+    single = [f for f in features if f not in arrays]
+    parts = [make(frames, names, by, quantiles) for make, names in ((_wide, single), (_long, arrays)) if names]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def feature_stats(frames: DataFrame, features: list[str], episode: str | None = None) -> DataFrame:
     """Minimum, maximum, mean, population deviation, count and exact quantiles (linear) of each feature's components.
 
     With episode there is a row for each episode too, the global rows having null for it. Moments are
-    partial sums; an episode's quantiles hold a count for each of its distinct values, and the global
-    ones come from ``rank_quantiles``, so no task ever holds a feature's values.
+    partial sums of columns side by side; an episode's quantiles hold a count for each of its distinct
+    values, and the global ones come from ``rank_quantiles`` with the moments' extremes, so no task ever
+    holds a feature's values. Nulls count for nothing, as empty cells of optional sensors do.
     """
-    rows = components(frames, features, [])
     by = ["feature", "component"]
-    out = rows.groupBy(*by).agg(*_moments("x")).join(rank_quantiles(rows, by), by)
     columns = [*by, "min", "max", "mean", "std", "count", *QUANTILES]
+    moments = _figures(frames, features, [], False).where("count > 0 OR component = 0")
+    found = moments.where("count > 0").select(*by, F.col("min").alias("lo"), F.col("max").alias("hi"))
+    out = moments.join(rank_quantiles(components(frames, features, []), by, extremes=found), by, "left").select(*columns)
     if not episode:
-        return out.select(*columns)
-    own = components(frames, features, [episode])
-    q = F.expr(f"percentile(x, array({', '.join(map(str, QUANTILES.values()))}))").alias("_q")
-    own = own.groupBy(episode, *by).agg(*_moments("x"), q).select(episode, *by, "min", "max", "mean", "std", "count", *(F.get("_q", i).alias(name) for i, name in enumerate(QUANTILES)))
+        return out
     kind = frames.schema[episode].dataType
-    return own.unionByName(out.select(F.lit(None).cast(kind).alias(episode), *columns))
+    return _figures(frames, features, [episode], True).select(episode, *columns).unionByName(out.select(F.lit(None).cast(kind).alias(episode), *columns))
 
 
-def rank_quantiles(rows: DataFrame, by: list[str], x: str = "x", ranges: int = 4096) -> DataFrame:
+def rank_quantiles(rows: DataFrame, by: list[str], x: str = "x", ranges: int = 4096, extremes: DataFrame | None = None) -> DataFrame:
     """Exact linear quantiles of x for a few groups of any size, by selection of ranks.
 
     Each group's values fall into equal ranges between its extremes; counts of the ranges say which few
     of them hold wanted ranks; only those ranges' distinct values are counted and put in order, each
     range by itself. Where far outliers put most values into one range, that range's order is a sort
-    that spills. Nulls count for nothing.
+    that spills. Nulls count for nothing. extremes: (by, lo, hi) of the groups, where they are known.
     """
     rows = rows.where(F.col(x).isNotNull()).select(*by, F.col(x).cast("double").alias("v"))
-    found = rows.groupBy(*by).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    found = rows.groupBy(*by).agg(F.min("v").alias("lo"), F.max("v").alias("hi")) if extremes is None else extremes
     part = F.when(F.col("hi") > F.col("lo"), F.least(F.lit(ranges - 1), F.floor((F.col("v") / ranges - F.col("lo") / ranges) / (F.col("hi") / ranges - F.col("lo") / ranges) * ranges))).otherwise(0)
     dealt = rows.join(F.broadcast(found), by).select(*by, "v", part.cast("int").alias("r"))  # a row for each of a few groups
     sizes = dealt.groupBy(*by, "r").agg(F.count("*").alias("n"))

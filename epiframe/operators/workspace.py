@@ -43,7 +43,8 @@ def resumable(records: DataFrame) -> DataFrame:
 
 
 def review_queue(records: DataFrame) -> DataFrame:
-    return records.where("status = 'needs_review'").orderBy("episode_index")
+    """Episodes that are up for review, as rows in no order; who shows them sorts them."""
+    return records.where("status = 'needs_review'")
 
 
 def edge_allowed(source: str, target: str, human: str) -> Column:
@@ -90,6 +91,11 @@ def first_last(transitions: DataFrame) -> DataFrame:
     return transitions.groupBy("episode_index").agg(F.count("*").alias("events"), F.min_by("to_status", when).alias("first_status"), F.max_by("to_status", when).alias("last_status"))
 
 
+def latest(rows: DataFrame, value: str, order: str, by: str = "episode_index") -> DataFrame:
+    """(by, value) at the greatest order: an aggregate, no sort."""
+    return rows.groupBy(by).agg(F.max_by(value, order).alias(value))
+
+
 def ordered_log(transitions: DataFrame) -> DataFrame:
     return transitions.dropDuplicates(["event_id"]).orderBy("timestamp", "episode_index", "event_id")
 
@@ -104,25 +110,66 @@ def monotone_clock(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_r", rank).withColumn("time", F.max(F.col("now") - F.col("_r")).over(order) + F.col("_r")).drop("_r")
 
 
+def zero_transition_review(details: str | Column, annotation: str | Column) -> Column:
+    """Whether a record without refine steps is audited: a coarse decision without boundaries, then a review that asked nothing and gives the empty annotation."""
+    d = F.col(details) if isinstance(details, str) else details
+    a = F.col(annotation) if isinstance(annotation, str) else annotation
+    want = {"$.coarse.status": "coarse_done", "$.coarse.centers": "[]", "$.refine.status": "needs_review", "$.refine.provenance": "[]", "$.refine.boundaries": "[]"}
+    told = reduce(operator.and_, (F.get_json_object(d, path).eqNullSafe(F.lit(value)) for path, value in want.items()))
+    return told & a.isNull()
+
+
 def record_issues(records: DataFrame) -> DataFrame:
-    """(episode_index, issues): fields that contradict a record's status."""
+    """(episode_index, issues): fields that contradict a record's status. Decisions are in the JSON of sampling_details."""
+
     def absent(c: str) -> Column:
         return F.col(c).isNull()
 
-    done = F.col("status").isin("refine_done", "accepted")
+    def empty(c: str) -> Column:
+        return F.coalesce(F.size(c), F.lit(0)) <= 0
+
+    def decided(kind: str) -> Column:
+        return F.get_json_object("sampling_details", f"$.{kind}").isNotNull()
+
+    status = F.col("status")
+    done = status.isin("refine_done", "accepted")
+    nothing = F.coalesce("sampling_details", F.lit("{}")) == "{}"
+    plain = F.coalesce(F.size("final_annotation.boundaries") == 0, F.lit(False))
+    stepped = ~empty("refine_attempts") | F.coalesce(F.get_json_object("sampling_details", "$.refine.provenance") != "[]", F.lit(False))
+    audited = zero_transition_review("sampling_details", "final_annotation")
     checks = [
-        (~F.col("status").isin(STATUSES), "unknown_status"),
-        ((F.col("status") == "pending") & ~(absent("final_annotation") & absent("failure_category")), "pending_with_results"),
-        (done & absent("final_annotation"), "annotation_missing"),
-        ((F.col("status") == "accepted") & (F.size("review_reasons") > 0), "accepted_with_reasons"),
-        ((F.col("status") == "needs_review") & (F.size("review_reasons") <= 0), "review_without_reason"),
-        ((F.col("status") == "failed") & absent("failure_category"), "failure_without_category"),
-        ((F.col("status") != "failed") & ~absent("failure_category"), "category_without_failure"),
+        (~status.isin(STATUSES), "unknown_status"),
+        ((status == "pending") & ~(absent("final_annotation") & absent("failure_category") & empty("coarse_attempts") & empty("refine_attempts") & empty("validation_issues") & empty("review_reasons") & nothing), "pending_with_results"),
+        (status.isin("coarse_done", "refine_done") & empty("coarse_attempts") & ~decided("coarse"), "coarse_missing"),
+        ((status == "refine_done") & ~(stepped | plain | audited), "refine_missing"),
+        (done & absent("final_annotation") & ~audited, "annotation_missing"),
+        ((status == "accepted") & ~(empty("review_reasons") & empty("validation_issues")), "accepted_with_reasons"),
+        ((status == "accepted") & absent("decision_source"), "accepted_without_source"),
+        ((status == "accepted") & (F.col("decision_source") == "model") & (absent("prompt_version") | absent("model_revision") | nothing), "model_without_provenance"),
+        ((status != "accepted") & ~absent("decision_source"), "source_without_acceptance"),
+        ((status == "needs_review") & empty("review_reasons") & empty("validation_issues"), "review_without_reason"),
+        ((status == "failed") & absent("failure_category"), "failure_without_category"),
+        ((status != "failed") & ~absent("failure_category"), "category_without_failure"),
         (F.col("updated_at") < F.col("created_at"), "time_order"),
     ]
     return records.select("episode_index", F.array_compact(F.array(*(F.when(t, F.lit(c)) for t, c in checks))).alias("issues"))
 
 
+def manifest_issues(lengths: DataFrame, manifest: dict) -> DataFrame:
+    """(issue, subject): totals of a manifest that are not those of the episodes (episode_index, length), and cameras that it names twice."""
+    spark = lengths.sparkSession
+    sums = lengths.agg(F.count("*").alias("episodes"), F.coalesce(F.sum("length"), F.lit(0)).alias("frames"), F.count_if(F.col("length") < 1).alias("short"))
+    checks = F.array_compact(
+        F.array(
+            *(F.when(F.col(n) != F.lit(manifest[n]), F.struct(F.lit(f"{n}_total").alias("issue"), F.col(n).cast("string").alias("subject"))) for n in ("episodes", "frames")),
+            F.when(F.col("short") > 0, F.struct(F.lit("length").alias("issue"), F.col("short").cast("string").alias("subject"))),
+        )
+    )
+    cameras = manifest.get("cameras", [])
+    twice = spark.createDataFrame([("camera_repeated", c) for c in sorted(set(cameras)) if cameras.count(c) > 1], "issue string, subject string")
+    return sums.select(F.explode(checks).alias("x")).select("x.*").union(twice)
+
+
 def provenance_differences(records: DataFrame, manifest: dict) -> DataFrame:
     """(episode_index, fields): facts of a record that differ from the manifest's, null-safe."""
     names = [c for c in ("source_fingerprint", "run_fingerprint", "prompt_version", "model_revision") if c in manifest]

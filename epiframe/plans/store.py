@@ -16,14 +16,18 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.jsontext import canonical, stable_hash, strict_loads
+from ..operators import reindex, workspace
 from ..schemas import EDGES, HUMAN_EDGES, RECORD, STATUSES
+from ..sources import dataset
 from ..sources.sinks import write_if_changed, write_json
 from .annotate import PROMPT_VERSION
 
 RECORD_LIMIT = 16 << 20
+LOG_LIMIT = 64 << 20
 
 
 class Conflict(RuntimeError):
@@ -78,10 +82,17 @@ class Store:
     def manifest(self) -> dict:
         return strict_loads((self.root / "manifest.json").read_text(encoding="utf-8"), RECORD_LIMIT)
 
+    def checked_manifest(self, spark: SparkSession, config: Config) -> tuple[dict, DataFrame]:
+        """The manifest, whose run must be the configuration's, and the records that are of another run."""
+        m = self.manifest()
+        if m["run_fingerprint"] != run_fingerprint(config, m["model_revision"]):
+            raise Conflict("the work folder belongs to another run")
+        return m, workspace.provenance_differences(self.records(spark), m)
+
     def initialise(self, config: Config, revision: str, episodes: list[tuple[int, int, str]]) -> None:
         """A manifest and a pending record for each (index, length, source fingerprint); what is there must match and stays."""
         run = run_fingerprint(config, revision)
-        facts = {"run_fingerprint": run, "prompt_version": PROMPT_VERSION, "model_revision": revision, "mode": config.mode, "config_hash": config.stable_hash(), "episodes": len(episodes), "frames": sum(n for _, n, _ in episodes)}
+        facts = {"run_fingerprint": run, "prompt_version": PROMPT_VERSION, "model_revision": revision, "mode": config.mode, "config_hash": config.stable_hash(), "episodes": len(episodes), "frames": sum(n for _, n, _ in episodes), "cameras": list(dict.fromkeys([config.primary_camera, *config.refine_cameras]))}
         with self.locked():
             if (self.root / "manifest.json").exists():
                 if self.manifest() != facts:
@@ -130,9 +141,9 @@ class Store:
             write_json(self.path(episode), self._pending(episode, r["run_fingerprint"], r["source_fingerprint"], r["model_revision"]))
 
     def commit(self, results: DataFrame) -> dict[str, int]:
-        """Stores annotate()'s results as they come, a partition at a time; the counts of new statuses."""
+        """Stores annotate()'s results as they come, a partition of a few episodes at a time; the counts of new statuses."""
         counts: dict[str, int] = {}
-        for x in results.toLocalIterator(prefetchPartitions=True):
+        for x in results.toLocalIterator():
             r = self.load(x.episode_index)
             details = json.loads(x.details)
             path = {"accepted": ["coarse_done", "refine_done", "accepted"], "needs_review": (["coarse_done", "refine_done"] if "refine" in details else []) + ["needs_review"], "failed": ["failed"]}[x.status]
@@ -140,7 +151,8 @@ class Store:
             for target in path:
                 last = target == path[-1]
                 annotation = {"start_subtask_index": x.start_subtask_index, "boundaries": list(x.boundaries)} if x.boundaries is not None and target in ("refine_done", "accepted") else r["final_annotation"]
-                r = self.transition(x.episode_index, (r["status"], r["updated_at"]), target, "annotated", category=x.failure_category if last else None, reasons=list(x.reasons or []) if last else [], final_annotation=annotation, sampling_details=canonical(details))
+                source = {"decision_source": "model"} if target == "accepted" else {}
+                r = self.transition(x.episode_index, (r["status"], r["updated_at"]), target, "annotated", **source, category=x.failure_category if last else None, reasons=list(x.reasons or []) if last else [], final_annotation=annotation, sampling_details=canonical(details))
             counts[x.status] = counts.get(x.status, 0) + 1
         return counts
 
@@ -171,15 +183,36 @@ class Store:
         return write_if_changed(self.root / "run.jsonl", "".join(canonical(e) + "\n" for e in events))
 
 
+    def read_log(self, spark: SparkSession) -> DataFrame:
+        """run.jsonl as a table of events, with a flag for lines that are none."""
+        path = self.root / "run.jsonl"
+        if path.stat().st_size > LOG_LIMIT:
+            raise ValueError(f"{path} is too large")
+        rows = dataset.jsonl_table(spark, str(path), "event_id string, timestamp timestamp, episode long, from_status string, to_status string, event string, category string, reasons array<string>, human boolean")
+        return rows.withColumnRenamed("episode", "episode_index").drop("file")
+
+
 def file_digest(path: str | Path) -> str:
     with Path(path).open("rb") as f:
         return hashlib.file_digest(f, "sha256").hexdigest()
 
 
-def tree_digest(root: str | Path) -> str:
+def tree_files(root: str | Path, spark: SparkSession) -> DataFrame:
+    """(path, size, digest) of all files under a folder that driver and executors share; the tasks read them."""
+    names = [p.relative_to(root).as_posix() for p in Path(root).rglob("*") if p.is_file()]
+    one, where = file_digest, str(root)
+
+    def run(parts):
+        for p in parts:
+            p["size"] = [os.path.getsize(f"{where}/{n}") for n in p.path]
+            p["digest"] = [one(f"{where}/{n}") for n in p.path]
+            yield p
+
+    files = spark.createDataFrame([(n,) for n in names], "path string").repartition(max(1, min(256, len(names) // 16)))
+    return files.mapInPandas(run, "path string, size long, digest string")
+
+
+def tree_digest(root: str | Path, spark: SparkSession) -> str:
     """Of all files' paths, sizes and contents in path order: the same before and after, or the source was touched."""
-    h = hashlib.sha256()
-    for p in sorted(Path(root).rglob("*")):
-        if p.is_file():
-            h.update(f"{p.relative_to(root).as_posix()}\0{p.stat().st_size}\0{file_digest(p)}\n".encode())
-    return h.hexdigest()
+    files = tree_files(root, spark).select("path", F.concat_ws("\0", F.col("size").cast("string"), "digest").alias("digest"))
+    return reindex.ordered_digest(files, "path", "digest")

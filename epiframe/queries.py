@@ -454,12 +454,15 @@ def timestamp_monotonic_check(spark, sf):
     return reindex.timestamp_order(A.event_frames(spark, sf), "value")
 
 
-@query("""WITH s(split, first, last) AS (VALUES ('train', 0, (SELECT count(*) // 2 FROM orders)), ('val', (SELECT count(*) // 2 FROM orders) + 3, (SELECT count(*) - 5 FROM orders)), ('test', (SELECT count(*) - 9 FROM orders), (SELECT count(*) - 2 FROM orders)))
-SELECT 'gap' AS issue, 'val' AS split UNION ALL SELECT 'overlap', 'test' UNION ALL SELECT 'gap_at_end', 'test'""")
+@query("""WITH s AS (SELECT n_name AS split, 10 * (row_number() OVER (ORDER BY n_nationkey) - 1) + CASE WHEN n_nationkey % 5 = 1 THEN 2 WHEN n_nationkey % 5 = 3 THEN -2 ELSE 0 END AS first, 10 * row_number() OVER (ORDER BY n_nationkey) - CASE WHEN n_nationkey % 7 = 6 THEN 1 ELSE 0 END AS last FROM nation),
+o AS (SELECT *, coalesce(lag(last) OVER w, 0) AS before, lead(first) OVER w IS NULL AS at_end FROM s WINDOW w AS (ORDER BY first, last)), n AS (SELECT 10 * count(*) + 3 AS total FROM nation)
+SELECT 'overlap' AS issue, split FROM o WHERE before > first UNION ALL SELECT 'gap', split FROM o WHERE before < first UNION ALL SELECT 'gap_at_end', split FROM o, n WHERE at_end AND last < total""")
 def splits_coverage(spark, sf):
-    n = A.table(spark, sf, "orders").count()
-    splits = spark.createDataFrame([("train", 0, n // 2), ("val", n // 2 + 3, n - 5), ("test", n - 9, n - 2)], "split string, first long, last long")
-    return reindex.split_coverage(splits, n)
+    k = F.col("n_nationkey")
+    rows = A.table(spark, sf, "nation").select(F.col("n_name").alias("split"), k, (F.row_number().over(Window.orderBy(k)) - 1).alias("r"))  # a few nations
+    first = 10 * F.col("r") + F.when(k % 5 == 1, 2).when(k % 5 == 3, -2).otherwise(0)
+    splits = rows.select("split", first.cast("long").alias("first"), (10 * F.col("r") + 10 - F.when(k % 7 == 6, 1).otherwise(0)).cast("long").alias("last"))
+    return reindex.split_coverage(splits, 10 * rows.count() + 3)
 
 
 @query("SELECT o_orderkey AS episode_index, 'missing' AS side FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) UNION ALL SELECT DISTINCT l_orderkey, 'unexpected' FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)")
@@ -507,32 +510,40 @@ def resumable_selection(spark, sf):
     return workspace.resumable(A.order_records(spark, sf)).select("episode_index", "status")
 
 
-T_SQL = f"""{F_SQL}, t0 AS (SELECT *, ['pending', 'coarse_done', 'refine_done', 'accepted', 'accepted'] AS c FROM f WHERE frame_index < 4),
-t AS MATERIALIZED (SELECT episode_index, CAST(event_id AS VARCHAR) AS event_id, ts, frame_index, CASE WHEN episode_index % 9 = 0 AND frame_index = 1 THEN 'pending' ELSE c[frame_index + 1] END AS from_status, c[frame_index + 2] AS to_status, frame_index = 3 AND episode_index % 4 = 0 AS human FROM t0)"""
+T_SQL = f"""{F_SQL}, t AS MATERIALIZED (SELECT episode_index, lpad(CAST(event_id AS VARCHAR), 12, '0') AS event_id, ts, frame_index, frame_index >= 3 AND (episode_index % 4 = 0 OR frame_index % 3 <> 0) AS human,
+CASE WHEN episode_index % 9 = 0 AND frame_index = 1 THEN 'pending' ELSE ['pending', 'coarse_done', 'refine_done', 'accepted'][least(frame_index, 3) + 1] END AS from_status, ['coarse_done', 'refine_done', 'accepted'][least(frame_index, 2) + 1] AS to_status FROM f)"""
 
 
-def _transitions(spark, sf):
-    chain = F.array(*map(F.lit, ["pending", "coarse_done", "refine_done", "accepted", "accepted"]))
-    rows = A.event_frames(spark, sf).where("frame_index < 4")
-    i = F.col("frame_index").cast("int")
-    source = F.when((F.col("episode_index") % 9 == 0) & (i == 1), "pending").otherwise(F.get(chain, i))
-    return rows.select("episode_index", F.col("event_id").cast("string").alias("event_id"), "timestamp", source.alias("from_status"), F.get(chain, i + 1).alias("to_status"), ((i == 3) & (F.col("episode_index") % 4 == 0)).alias("human"))
+@query(f"WITH {T_SQL} SELECT episode_index, event_id, from_status, to_status, human FROM t")
+def transition_list(spark, sf):
+    return transition_rows(spark, sf).drop("timestamp")
+
+
+def transition_rows(spark, sf):
+    """All events of a user as transitions: on to accepted, then audits of it by a human or, wrongly, by none."""
+    rows = A.event_frames(spark, sf)
+    i, e = F.col("frame_index").cast("int"), F.col("episode_index")
+    chain = F.array(*map(F.lit, ["pending", "coarse_done", "refine_done", "accepted"]))
+    source = F.when((e % 9 == 0) & (i == 1), "pending").otherwise(F.get(chain, F.least(i, F.lit(3))))
+    human = (i >= 3) & ((e % 4 == 0) | (i % 3 != 0))
+    return rows.select("episode_index", F.lpad(F.col("event_id").cast("string"), 12, "0").alias("event_id"), "timestamp", source.alias("from_status"), F.get(chain, F.least(i + 1, F.lit(3))).alias("to_status"), human.alias("human"))
 
 
 @query(f"""WITH {T_SQL} SELECT episode_index, event_id, 'broken_chain' AS issue FROM t WHERE episode_index % 9 = 0 AND frame_index = 1
-UNION ALL SELECT episode_index, event_id, 'illegal_edge' FROM t WHERE (episode_index % 9 = 0 AND frame_index = 1 AND to_status = 'refine_done') OR (frame_index = 3 AND NOT human)""")
+UNION ALL SELECT episode_index, event_id, 'illegal_edge' FROM t WHERE (episode_index % 9 = 0 AND frame_index = 1) OR (frame_index >= 3 AND NOT human)
+UNION ALL SELECT episode_index, event_id, 'time_not_increasing' FROM (SELECT *, lag(ts) OVER (PARTITION BY episode_index ORDER BY frame_index) >= ts AS bad FROM t) WHERE bad""")
 def transition_chain_check(spark, sf):
-    return workspace.chain_issues(_transitions(spark, sf))
+    return workspace.chain_issues(transition_rows(spark, sf))
 
 
-@query(f"WITH {T_SQL} SELECT episode_index, count(*) AS events, arg_min(to_status, ts) AS first_status, arg_max(to_status, ts) AS last_status FROM t GROUP BY episode_index")
+@query(f"WITH {T_SQL} SELECT episode_index, count(*) AS events, arg_min(to_status, frame_index) AS first_status, arg_max(to_status, frame_index) AS last_status FROM t GROUP BY episode_index")
 def first_last_event(spark, sf):
-    return workspace.first_last(_transitions(spark, sf))
+    return workspace.first_last(transition_rows(spark, sf))
 
 
 @query(f"WITH {F_SQL} SELECT episode_index, label FROM (SELECT *, row_number() OVER (PARTITION BY episode_index ORDER BY frame_index DESC) AS k FROM f) WHERE k = 1")
 def latest_state(spark, sf):
-    return A.event_frames(spark, sf).groupBy("episode_index").agg(F.max_by("label", "frame_index").alias("label"))
+    return workspace.latest(A.event_frames(spark, sf), "label", "frame_index")
 
 
 @query(f"WITH {F_SQL}, c AS (SELECT *, CAST(floor(value) AS BIGINT) AS now FROM f) SELECT episode_index, frame_index AS seq, max(now - frame_index - 1) OVER (PARTITION BY episode_index ORDER BY frame_index) + frame_index + 1 AS time FROM c")
@@ -587,9 +598,9 @@ def candidate_coalesce(spark, sf):
     return rows.withColumn("c", review.candidate_annotation("final", "golden_boundaries")).select("episode_index", _joined("c").alias("boundaries"))
 
 
-@query(f"WITH {ST_SQL}, c AS (SELECT count(*) AS n FROM nation) SELECT episode_index, n_name AS camera FROM (SELECT episode_index, c.n FROM st, c WHERE status = 'needs_review' AND episode_index % 50 = 0) CROSS JOIN nation WHERE n <= 512")
+@query(f"WITH {ST_SQL}, c AS (SELECT count(*) AS n FROM nation) SELECT episode_index, n_name AS camera FROM (SELECT episode_index, c.n FROM st, c WHERE status = 'needs_review') CROSS JOIN nation WHERE n <= 512")
 def review_evidence(spark, sf):
-    rows = workspace.review_queue(A.order_records(spark, sf)).where("episode_index % 50 = 0")
+    rows = workspace.review_queue(A.order_records(spark, sf))
     rows = rows.select("episode_index", F.struct(F.array(F.lit(0).cast("long")).alias("frames")).alias("candidates"))
     return review.evidence(rows, A.cameras(spark, sf)).select("episode_index", "camera")
 
@@ -605,7 +616,8 @@ def text_sha256(spark, sf):
 @query("SELECT source, sha256(string_agg(concat_ws('/', source, doc_id) || chr(0) || sha256(text) || chr(10), '' ORDER BY concat_ws('/', source, doc_id))) AS rollup, count(*) AS files, round(sum(strlen(text)) / 1048576.0, 9) AS megabytes FROM documents GROUP BY source")
 def checksum_rollup(spark, sf):
     rows = A.table(spark, sf, "documents").select("source", F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"), text.digest("text").alias("digest"), F.octet_length("text").alias("bytes"))
-    return rows.groupBy("source").agg(text.checksum_rollup("path", "digest").alias("rollup"), F.count("*").alias("files"), F.round(text.payload_megabytes("bytes"), 9).alias("megabytes"))
+    sizes = rows.groupBy("source").agg(F.count("*").alias("files"), F.round(text.payload_megabytes("bytes"), 9).alias("megabytes"))
+    return reindex.digest_rollup(rows, "source", "path", "digest").join(sizes, "source").select("source", "rollup", "files", "megabytes")
 
 
 @query(r"SELECT doc_id, length(text) > 0 AND NOT regexp_matches(text, '^\s|\s$') AND text <> lang AND regexp_matches(text, '[A-Za-z]') AND NOT regexp_matches(text, '[\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{AC00}-\x{D7AF}\x{F900}-\x{FAFF}]') AS valid FROM documents")
@@ -645,23 +657,3 @@ def split_ranges(spark, sf):
     k = F.col("o_orderkey")
     said = F.when(k % 3 == 0, F.concat(F.floor(k / 2).cast("string"), F.lit(":"), k.cast("string"))).when(k % 3 == 1, F.concat(k.cast("string"), F.lit(":"))).otherwise(F.lit("a:b"))
     return A.table(spark, sf, "orders").select("o_orderkey", text.split_range(said).alias("r")).select("o_orderkey", "r.first", "r.last")
-
-
-# --- batch forms of the stream windows -----------------------------------------------------------
-
-
-@query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type AS label, count(*) AS n FROM events GROUP BY 1, 2")
-def tumbling_window_counts(spark, sf):
-    rows = A.event_frames(spark, sf)
-    out = rows.groupBy(F.window("timestamp", "1 hour").alias("w"), "label").agg(F.count("*").alias("n"))
-    return out.select(F.col("w.start").cast("timestamp_ntz").alias("start"), "label", "n")
-
-
-@query("""WITH s AS (SELECT user_id, ts, CASE WHEN ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 2 HOUR OR lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL THEN 1 ELSE 0 END AS isnew FROM events),
-k AS (SELECT *, sum(isnew) OVER (PARTITION BY user_id ORDER BY ts) AS sid FROM s) SELECT user_id AS episode_index, min(ts) AS start, count(*) AS n FROM k GROUP BY user_id, sid""")
-def session_window_counts(spark, sf):
-    order = Window.partitionBy("episode_index").orderBy("timestamp")
-    rows = A.event_frames(spark, sf).select("episode_index", "timestamp")
-    new = F.coalesce((F.col("timestamp") > F.lag("timestamp").over(order) + F.expr("INTERVAL 2 HOURS")).cast("int"), F.lit(1))
-    out = rows.withColumn("new", new).withColumn("sid", F.sum("new").over(order)).groupBy("episode_index", "sid").agg(F.min("timestamp").cast("timestamp_ntz").alias("start"), F.count("*").alias("n"))
-    return out.drop("sid")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import json
 import os
 import shutil
@@ -9,11 +10,30 @@ import tempfile
 from collections.abc import Iterable
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.jsontext import canonical
 
 
+_TEMPORARY: list[str] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors mount, from spark.checkpoint.dir; a local session without one gets a temporary folder."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if where is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        if not _TEMPORARY:
+            _TEMPORARY.append(tempfile.mkdtemp(prefix="shared-"))
+            atexit.register(shutil.rmtree, _TEMPORARY[0], ignore_errors=True)
+        where = _TEMPORARY[0]
+    scheme, mark, rest = where.partition("://")
+    if mark and scheme != "file":
+        raise ValueError(f"{where} is no folder that files can be opened in")
+    return rest if mark else where.removeprefix("file:")
+
+
 def write_text(path: str | Path, text: str) -> None:
     """Replaces a file in one step; symbolic links are refused."""
     path = Path(path)
@@ -83,6 +103,21 @@ def copy_tree(source: str | Path, target: str | Path, skip: tuple[str, ...] = ()
             shutil.copy2(Path(folder) / n, target / here / n)
 
 
+def copy_files(files: DataFrame) -> DataFrame:
+    """(target_path, bytes) of a table (source_path, target_path), each copied by a task; a repeated task copies again."""
+
+    def run(parts):
+        for p in parts:
+            sizes = []
+            for source, target in zip(p.source_path, p.target_path, strict=True):
+                os.makedirs(os.path.dirname(target), exist_ok=True)
+                sizes.append(os.path.getsize(shutil.copyfile(source, target, follow_symlinks=False)))
+            p["bytes"] = sizes
+            yield p[["target_path", "bytes"]]
+
+    return files.mapInPandas(run, "target_path string, bytes long")
+
+
 def rewrite_episode(source: str, target: str, episode: int, offset: int) -> int:
     """An episode's parquet with episode_index, frame_index and index anew; types, list widths and metadata stay."""
     import numpy as np

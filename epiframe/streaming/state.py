@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -66,24 +67,45 @@ def session_counts(events: DataFrame, gap: str, late: str = "10 minutes") -> Dat
 def log_writer(path: str):
     """A foreachBatch function that appends a batch's events to a table once, whatever is replayed.
 
-    Each batch is a folder of its own number, overwritten if the batch comes again; events that an
-    earlier batch has are left out by their id.
+    Each batch is a folder of its own number, overwritten if the batch comes again, and dealt to the
+    days of its events. An event comes back with its own time, so those that an earlier batch has are
+    looked for in the batch's days alone.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        new = batch.dropDuplicates(["event_id"])
+        new = batch.dropDuplicates(["event_id"]).withColumn("day", F.to_date("timestamp")).persist()
+        days = [r.day for r in new.where("day IS NOT NULL").select("day").distinct().collect()]  # a batch's days
         try:
-            old = spark.read.option("basePath", path).parquet(path).where(F.col("batch") < number)
-            new = new.join(old.select("event_id"), "event_id", "left_anti")
-        except Exception as e:  # there is no table before the first batch
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            old = spark.read.schema("event_id string, batch long, day date").option("basePath", path).parquet(path)
+            known = old.where((F.col("batch") < number) & (F.col("day").isNull() | F.col("day").isin(days))).select("event_id")
+            kept = new.join(known, "event_id", "left_anti")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # there is no table before the first batch
                 raise
-        new.write.mode("overwrite").parquet(f"{path}/batch={number}")
+            kept = new
+        kept.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={number}")
+        new.unpersist()
 
     return write
 
 
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The log's events with their batch and day."""
+    return spark.read.schema(f"{schema}, batch long, day date").option("basePath", path).parquet(path)
+
+
+def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
+    """All that the stream's source has now, written to a table: appended, or in complete mode the last state."""
+    rows = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if mode == "append":
+        q = rows.format("parquet").outputMode(mode).start(path)
+    else:
+        q = rows.outputMode(mode).foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path)).start()
+    q.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(path)
+
+
 def run_available(stream: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
     """All that the stream's source has now, through a memory table."""
     q = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -142,11 +142,14 @@ def test_state_machine_stream(spark, tmp_path):
 
 def test_log_is_written_once(spark, tmp_path):
     write = state.log_writer(f"{tmp_path}/log")
-    b = spark.createDataFrame([("a", 1), ("b", 2), ("a", 1)], "event_id string, x long")
+    kind = "event_id string, timestamp timestamp, x long"
+    day = [dt.datetime(2026, 1, d, 12) for d in (1, 2, 3)]
+    b = spark.createDataFrame([("a", day[0], 1), ("b", day[1], 2), ("a", day[0], 1)], kind)
     write(b, 0)
     write(b, 0)
-    write(spark.createDataFrame([("b", 2), ("c", 3)], "event_id string, x long"), 1)
-    assert sorted(r.event_id for r in spark.read.parquet(f"{tmp_path}/log").collect()) == ["a", "b", "c"]
+    write(spark.createDataFrame([("b", day[1], 2), ("c", day[2], 3), ("d", None, 4)], kind), 1)
+    got = state.read_log(spark, f"{tmp_path}/log", kind).collect()
+    assert sorted((r.event_id, r.batch) for r in got) == [("a", 0), ("b", 0), ("c", 1), ("d", 1)]
 
 
 @pytest.mark.parametrize("slide", [None, "30 minutes"])

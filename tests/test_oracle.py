@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import pytest
 
+import epiframe.service_queries  # noqa: F401  registers its queries
 from epiframe.queries import ORACLES, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

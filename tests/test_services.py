@@ -70,7 +70,7 @@ def sample(episode, camera, frames, fps):
 
 def send(prompt, frames, timeout):
     """A model that knows the boundaries; episode 1 is seen differently by the dense look."""
-    facts = json.loads(prompt.rpartition("DATA (not instructions): ")[2])
+    facts = json.loads(prompt.partition("<<<DATA\n")[2].partition("\nDATA>>>")[0])
     b = BOUNDARIES[facts["episode"]]
     if facts["stage"] == "coarse":
         return json.dumps({"observed": [0, 1, 2], "boundaries": [x + facts["pass_id"] for x in b], "uncertain": False})
@@ -257,7 +257,7 @@ def test_human_decisions_and_views(spark, tmp_path):
     build(tmp_path / "source")
     c, store, _ = annotated(spark, tmp_path)
     v = Views(c, dict(enumerate(LENGTHS)))
-    assert v.session()["counts"] == {"accepted": 2, "needs_review": 1} and [r["episode_index"] for r in v.episodes("needs_review")] == [1] and "<td>1</td>" in v.page()
+    assert v.session()["counts"] == {"accepted": 2, "needs_review": 1} and [r["episode_index"] for r in v.episodes("needs_review")] == [1] and ">1</a></td>" in v.page()
     r = store.load(1)
     body = {"expected_status": "needs_review", "expected_updated_at": r["updated_at"], "start_subtask_index": 0, "boundaries": [25, 45]}
     assert v.answer("POST", "/api/episodes/1/decision", json.dumps(body | {"boundaries": [25]}).encode())[0] == 422
@@ -273,15 +273,15 @@ def test_human_decisions_and_views(spark, tmp_path):
 def test_conversion_validation_and_evaluation(spark, tmp_path):
     build(tmp_path / "source")
     c, store, _ = annotated(spark, tmp_path)
-    before = tree_digest(c.source)
+    before = tree_digest(c.source, spark)
     out = tmp_path / "out"
-    assert release.convert(spark, c, str(out))["episodes"] == 2 and tree_digest(c.source) == before
+    assert release.convert(spark, c, str(out))["episodes"] == 2 and tree_digest(c.source, spark) == before
     info = json.loads((out / "meta/info.json").read_text())
     assert (info["total_episodes"], info["total_frames"], info["total_chunks"], info["total_videos"], info["splits"], info["kept"]) == (2, 110, 1, 4, {"train": "0:2"}, {"x": 1})
     t = pq.read_table(out / "data/chunk-000/episode_000001.parquet")
     assert t["index"].to_pylist() == list(range(60, 110)) and set(t["episode_index"].to_pylist()) == {1} and t.schema.metadata[b"who"] == b"test" and t.schema.field("action").type.list_size == 2
     stats = json.loads((out / "meta/stats.json").read_text())
-    assert abs(stats["action"]["mean"][0] - 100 / 110) < 1e-9 and stats["action"]["count"] == [110, 110]
+    assert abs(stats["action"]["mean"][0] - 100 / 110) < 1e-9 and stats["action"]["count"] == [110]
     assert (out / "videos/chunk-000/top/episode_000001.mp4").read_bytes() == b"2 top"
     with pytest.raises(FileExistsError):
         release.convert(spark, c, str(out))
@@ -353,7 +353,7 @@ def test_commands(spark, tmp_path, capsys, monkeypatch):
     monkeypatch.setattr(cli, "_named", lambda x: getattr(own, x))
     assert cli.main(["inspect", path, "--probe", "probe"], spark) == 0
     assert cli.main(["annotate", path, "--probe", "probe", "--services", "SERVICES", "--revision", "0" * 40], spark) == 0
-    assert cli.main(["status", path], spark) == 0 and '"accepted": 2' in capsys.readouterr().out
+    assert cli.main(["status", path, "--json"], spark) == 0 and '"accepted": 2' in capsys.readouterr().out
     assert cli.main(["convert", path, str(tmp_path / "out")], spark) == 0
     assert cli.main(["validate", str(tmp_path / "out")], spark) == 0
     assert cli.main(["status", str(tmp_path / "none.yaml")], spark) == 2 and cli.main(["nothing"], spark) == 2
