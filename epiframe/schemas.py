@@ -1,27 +1,12 @@
-"""The data model as DDL strings, which readers and createDataFrame take: one definition of every record."""
+"""What several modules share of the data model: the stored record as DDL, statuses and their transitions, metrics."""
 
 from __future__ import annotations
 
-EPISODES = "episode_index long, length long, task string, parquet string, videos map<string,string>"
-FRAMES = "frame_index long, episode_index long, index long, task_index long, timestamp float"
-TASKS = "task_index long, task string"
-SUBTASKS = "subtask_index int, skill string, text string"
-ANNOTATION = "start_subtask_index int, boundaries array<int>"
-SEGMENTS = "episode_index long, segment_index int, subtask_index int, start_frame long, end_frame long"
-COARSE_ATTEMPT = "pass_id int, observed array<int>, boundaries array<struct<from_subtask:int,to_subtask:int,last_frame:int,first_frame:int,estimate:int>>, uncertain boolean"
-REFINE_ATTEMPT = "boundary_index int, stage string, from_subtask int, to_subtask int, last_frame int, first_frame int, boundary int, uncertain boolean"
-ISSUE = "code string, message string"
 RECORD = (
     "episode_index long, status string, coarse_attempts array<struct<pass_id:int,observed:array<int>,uncertain:boolean>>, refine_attempts array<struct<boundary_index:int,stage:string,boundary:int,uncertain:boolean>>, "
     "final_annotation struct<start_subtask_index:int,boundaries:array<int>>, validation_issues array<struct<code:string,message:string>>, review_reasons array<string>, failure_category string, decision_source string, "
     "created_at timestamp, updated_at timestamp, source_fingerprint string, run_fingerprint string, prompt_version string, model_revision string, sampling_details string"
 )
-TRANSITION = "event_id string, episode_index long, from_status string, to_status string, event string, timestamp timestamp, reasons array<string>"
-STATS = "min array<double>, max array<double>, mean array<double>, std array<double>, q01 array<double>, q10 array<double>, q50 array<double>, q90 array<double>, q99 array<double>, count array<long>"
-GOLDEN = "episode_index long, start_subtask_index int, boundaries array<int>"
-VIEWS = "source_episode long, kind string, start_frame long, end_frame long, expected_start int, expected_boundaries array<long>"
-FRAME_SAMPLE = "camera_key string, frame_index long, timestamp_seconds double, jpeg binary"
-INSTALL = "repo string, revision string, path string, verified_at timestamp"
 
 # Statuses of an episode, in order, and the transitions between them.
 STATUSES = ["pending", "coarse_done", "refine_done", "accepted", "needs_review", "failed"]
