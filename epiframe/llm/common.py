@@ -10,7 +10,8 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Texts are worked on in slices of at most so many bytes; a single longer text is a slice of its own.
@@ -152,12 +153,11 @@ def kept_where(df: DataFrame, make: Callable[[], Callable[[list], list[bool]]],
     return rewritten(df, filtered, text=text, limit=limit)
 
 
-#: Sides of at most so many rows of a few numbers each are broadcast; larger ones are joined by shuffling.
-BROADCAST_ROWS = 300_000
+#: Sides of at most so many rows of a few numbers each are broadcast, and of so many elements of their arrays; larger ones are joined by shuffling.
+BROADCAST_ROWS, BROADCAST_CELLS = 300_000, 8_000_000
 
 
-def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df (already written out), marked for broadcasting if a count shows it small."""
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if df.count() <= rows else df
+def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS, cells: Column | None = None) -> DataFrame:
+    """df (already written out), marked for broadcasting if a count shows it small; cells: the number of elements of a row's arrays."""
+    n, size = df.agg(F.count("*"), F.coalesce(F.sum(cells if cells is not None else F.lit(0)), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and size <= BROADCAST_CELLS else df

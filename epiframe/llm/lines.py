@@ -7,14 +7,17 @@ what is left at the end of a text. Chunks of two lines or more that occur again
 for the first, by doc_id, then position. Chunks are found to be repeated by their digests, then
 compared by their bytes.
 
-Only texts of repeated chunks are shuffled, and equal ones meet in their tasks first; the first
-places, and then the removed chunks' numbers, go back to the chunks and documents by broadcast if a
-count shows them few, else by a shuffle join, whose large partitions adaptive execution may split.
-
-Defined cases: null text stays null and has no lines; a text may become empty; rows with the same
-doc_id are the same document, so a repeated row does not make its chunks repeated; a null doc_id
-sorts first and is a document as any other. Other columns of the input stay as they are, whatever
-their names; _n_lines and _n_removed are added behind them.
+The texts are cut twice: once for the chunks' digests, which are written out and used from there on,
+and once, only those with a repeated digest, for the bytes of these chunks. Of the latter equal
+ones meet in their tasks first. The digests, first places and removed chunks go back to chunks and
+documents by broadcast if they are shown to be small, else by a shuffle join, whose large partitions
+adaptive execution may split.
+
+Defined cases: null text stays null and has no lines; a text may become empty; a text of any length is
+cut whole, in time that grows with its length; rows with the same doc_id are the same document, so a
+repeated row does not make its chunks repeated; a null doc_id sorts first and is a document as any
+other. Other columns of the input stay as they are, whatever their names; _n_lines and _n_removed are
+added behind them.
 """
 
 from __future__ import annotations
@@ -45,21 +48,26 @@ def _chunks(text: str, body: str) -> str:
 
 
 def _removed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(_key, _gone: the numbers of the chunks to remove) for documents that have such chunks."""
+    """(_key, _gone: for each chunk up to the last that is removed, whether it is) for documents that have such chunks."""
     own = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    chunks = own.select("_key", F.posexplode(F.expr(_chunks("_text", "_cs"))).alias("_no", "_chunk")).where("_chunk.n > 1")
-    chunks = chunks.select(F.struct("_key", "_no").alias("_at"), F.unhex(F.md5(F.col("_chunk.body").cast("binary"))).alias("_md5"), F.col("_chunk.body").alias("_body"))
-    again = checkpointed(chunks.groupBy("_md5").agg(F.count("*").alias("n")).where("n > 1").select("_md5"))
-    some = chunks.join(small_enough(again), "_md5", "left_semi")
+    chunk = F.posexplode(F.expr(_chunks("_text", "_cs"))).alias("_no", "_chunk")
+    md5, more = F.unhex(F.md5(F.col("_chunk.body").cast("binary"))).alias("_md5"), F.xxhash64("_chunk.body").alias("_more")
+    digests = checkpointed(own.select("_key", chunk).where("_chunk.n > 1").select("_key", "_no", md5, more))
+    again = checkpointed(digests.groupBy("_md5").agg(F.count("*").alias("n")).where("n > 1").select("_md5"))
+    marked = checkpointed(digests.join(small_enough(again), "_md5", "left_semi"))
+    # only documents with such chunks are read again; a null key is a key here
+    some = own.join(small_enough(checkpointed(marked.select(F.col("_key").alias("_k")).distinct())), F.col("_key").eqNullSafe(F.col("_k")), "left_semi")
+    bodies = some.select("_key", chunk).where("_chunk.n > 1").select(F.struct("_key", "_no").alias("_at"), md5, F.col("_chunk.body").alias("_body")).join(small_enough(again), "_md5", "left_semi")
     # chunks with equal bytes make a group, map-side first; what goes on is a digest and the first place
-    same = some.groupBy("_md5", "_body").agg(F.min("_at").alias("_first"), F.count("*").alias("n"))
-    first = same.where("n > 1").select("_md5", F.xxhash64("_body").alias("_more"), "_first")
-    alike = same.groupBy("_md5", F.xxhash64("_body").alias("_more")).agg(F.count("*").alias("n")).where("n > 1").select("_md5", "_more")
+    same = bodies.groupBy("_md5", "_body").agg(F.min("_at").alias("_first"), F.count("*").alias("n"))
+    groups = checkpointed(same.select("_md5", F.xxhash64("_body").alias("_more"), "_first", "n"))
     # chunks whose digests other bytes have too are left alone
-    first = checkpointed(first.join(alike, ["_md5", "_more"], "left_anti"))
-    digests = chunks.select("_at", "_md5", F.xxhash64("_body").alias("_more"))
-    gone = digests.join(small_enough(first), ["_md5", "_more"]).where("NOT (_at <=> _first)")
-    return gone.groupBy(F.col("_at._key").alias("_key")).agg(F.sort_array(F.collect_set("_at._no")).alias("_gone"))
+    alike = groups.groupBy("_md5", "_more").agg(F.count("*").alias("m"), F.min("_first").alias("_first"), F.max("n").alias("n"))
+    first = checkpointed(alike.where("m = 1 AND n > 1").select("_md5", "_more", "_first"))
+    gone = marked.join(small_enough(first), ["_md5", "_more"]).where("NOT (struct(_key, _no) <=> _first)")
+    listed = gone.groupBy("_key").agg(F.sort_array(F.collect_set("_no")).alias("_nos"))
+    flags = "flatten(transform(_nos, (x, i) -> concat(array_repeat(false, x - if(i = 0, -1, get(_nos, i - 1)) - 1), array(true))))"
+    return listed.select("_key", F.expr(flags).alias("_gone"))
 
 
 def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -67,9 +75,10 @@ def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
     gone = checkpointed(_removed(docs, key, text))
     names = [f"c{i}" for i in range(len(docs.columns))]
     at, of = names[docs.columns.index(key)], names[docs.columns.index(text)]
-    found = docs.toDF(*names).join(small_enough(gone), F.col(at).eqNullSafe(F.col("_key")), "left")
-    kept = "array_join(transform(filter(_cs, (c, k) -> NOT array_contains(_gone, k)), c -> c.body), '\n')"
-    done = "named_struct('n', CAST(size(_ls) AS BIGINT), 'gone', aggregate(_gone, 0L, (s, k) -> s + get(_cs, k).n), 'text', {})".format(kept)
+    found = docs.toDF(*names).join(small_enough(gone, cells=F.size("_gone")), F.col(at).eqNullSafe(F.col("_key")), "left")
+    kept = "array_join(transform(filter(_cs, (c, k) -> NOT coalesce(get(_gone, k), false)), c -> c.body), '\n')"
+    lines = "aggregate(transform(_gone, (g, k) -> if(g, get(_cs, k).n, 0)), 0L, (s, n) -> s + n)"
+    done = f"named_struct('n', CAST(size(_ls) AS BIGINT), 'gone', {lines}, 'text', {kept})"
     plain = f"named_struct('n', CAST(size(split({of}, '\n', -1)) AS BIGINT), 'gone', 0L, 'text', {of})"
     out = found.withColumn("_out", F.expr(f"CASE WHEN _gone IS NULL THEN {plain} ELSE {_chunks(of, done)} END"))
     columns = [F.col("_out.text" if n == of else n).alias(c) for n, c in zip(names, docs.columns, strict=True)]
