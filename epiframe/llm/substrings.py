@@ -14,11 +14,16 @@ place are worked on together.
    each step gives the matching statistic, the longest end of the passage so far that occurred
    before; where it reaches size words, the window that ends there is repeated. Automata are not
    broadcast to all documents, as the references grow with the corpus.
-3. A shard reports the windows that are new at a passage's first place. All other windows of marked
+3. An anchor of over SPLIT different passages, as a phrase in very many documents has, is not held by
+   its task: its passages are passed on, cut anew by longer grams, at the last by whole windows, and
+   dealt again by those. So a task holds SPLIT passages at most, whatever repeats.
+4. A shard reports the windows that are new at a passage's first place. All other windows of marked
    runs are repeated. The reports go back to the documents, which drop the maximal spans.
 
 Defined cases: null text has no words; rows of one doc_id are the same document, and equal rows of it
-do not repeat one another; a null doc_id sorts first. Only named columns are read.
+do not repeat one another; its different texts do, in the order of their hashes. A null doc_id sorts first. Texts of any
+length are read whole: a text's words and some 60 bytes for each are held at a time. Only named
+columns are read, whatever else there is and however it is named.
 """
 
 from __future__ import annotations
@@ -36,6 +41,8 @@ from .common import checkpointed, partitions, share, slices, table
 GRAM = 6
 MAX_BITS = 30
 BLOCK_BITS = 19
+#: The most different passages of one anchor that a task holds, some 10 KB each.
+SPLIT = 4096
 #: Stands for a null doc_id.
 NO_ID = -(2**63)
 
@@ -63,13 +70,13 @@ class Words:
             return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
-def runs(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def runs(codes: np.ndarray, size: int, gram_words: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchor, first window and number of windows of each run."""
     n = len(codes) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    gram = np.zeros(len(codes) - GRAM + 1, np.uint64)
-    for j in range(GRAM):
+    gram = np.zeros(len(codes) - gram_words + 1, np.uint64)
+    for j in range(gram_words):
         gram *= np.uint64(0x9E3779B97F4A7C15)
         gram += codes[j : len(gram) + j]
     gram ^= gram >> np.uint64(29)
@@ -79,7 +86,7 @@ def runs(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     place = np.uint64((1 << 28) - 1)
     low = (gram & ~place) | np.arange(len(gram), dtype=np.uint64)
     wide, width = low, 1
-    span = size - GRAM + 1
+    span = size - gram_words + 1
     while 2 * width <= span:
         wide = np.minimum(wide[:-width], wide[width:])
         width *= 2
@@ -147,7 +154,7 @@ class Marks:
 
 
 def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
-    return df.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("k"), F.col(text).alias("text"))
+    return df.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("k"), F.xxhash64(text).alias("t"), F.col(text).alias("text"))
 
 
 def repeated_anchors(rows: DataFrame, size: int) -> DataFrame:
@@ -203,12 +210,21 @@ def new_windows(passages: list[list[bytes]], size: int) -> Iterator[int]:
         yield sum(1 << i for i, m in enumerate(automaton.feed(w)[size - 1 :]) if m < size)
 
 
+#: Passages: group, document, its text's hash, first window here, anchor and first window of the run they are of, words.
+PASSAGE = {"sub": pa.int64(), "k": pa.int64(), "t": pa.int64(), "at": pa.int32(), "anchor": pa.int64(), "s": pa.int32(), "passage": pa.binary()}
+PASSAGE_SQL = "sub long, k long, t long, at int, anchor long, s int, passage binary"
+
+
+def _batch(rows: list[tuple], kinds: dict) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], names=list(kinds))
+
+
 def passages(rows: DataFrame, marks: Callable[[], Marks], size: int) -> DataFrame:
-    """(anchor, k, s, skip, passage): the passages of each slice of rows that have windows new in the slice, cut to those.
+    """The passages (PASSAGE) of each slice of rows that have windows new in the slice, cut to those; their group is their anchor.
 
-    s is the run's first window, skip how many windows are cut off before the passage. Equal passages
-    and passages with the same windows meet here first, so what is shuffled of copies, exact or near,
-    is little for each slice, however many there are.
+    Equal passages and passages with the same windows meet here first, so what is shuffled of copies,
+    exact or near, is little for each slice, however many there are.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,49 +232,79 @@ def passages(rows: DataFrame, marks: Callable[[], Marks], size: int) -> DataFram
         for batch in batches:
             own = own or marks()
             for part in slices(batch, "text"):
-                first: dict[tuple[int, bytes], tuple[int, int]] = {}
-                for k, t in zip(part.column("k").to_pylist(), part.column("text").to_pylist(), strict=True):
+                first: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+                for k, h, t in zip(*(part.column(c).to_pylist() for c in ("k", "t", "text")), strict=True):
                     w = (t or "").encode().split()
                     anchor, s, n = runs(words.hashes(w), size)
                     hit = own.hit(anchor)
                     for a, i, m in zip(anchor[hit].tolist(), s[hit].tolist(), n[hit].tolist(), strict=True):
                         p = (a, b" ".join(w[i : i + m + size - 1]))
-                        if p not in first or (k, i) < first[p]:
-                            first[p] = (k, i)
+                        if p not in first or (k, h, i) < first[p]:
+                            first[p] = (k, h, i)
                 by: dict[int, list] = {}
-                for (a, p), (k, i) in first.items():
-                    by.setdefault(a, []).append((k, i, p))
+                for (a, p), place in first.items():
+                    by.setdefault(a, []).append((place, p))
                 out = []
                 for a, held in by.items():
                     if len(held) == 1:
-                        out.append((a, *held[0][:2], 0, held[0][2]))
+                        (k, h, i), p = held[0]
+                        out.append((a, k, h, i, a, i, p))
                         continue
                     held.sort()
-                    split = [p.split() for _, _, p in held]
-                    for (k, i, _), w, fresh in zip(held, split, new_windows(split, size), strict=True):
+                    split = [p.split() for _, p in held]
+                    for ((k, h, i), _), w, fresh in zip(held, split, new_windows(split, size), strict=True):
                         if fresh:
                             low, high = (fresh & -fresh).bit_length() - 1, fresh.bit_length()
-                            out.append((a, k, i, low, b" ".join(w[low : high + size - 1])))
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                columns = list(zip(*out, strict=True)) or [[]] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["anchor", "k", "s", "skip", "passage"])
+                            out.append((a, k, h, i + low, a, i, b" ".join(w[low : high + size - 1])))
+                yield _batch(out, PASSAGE)
+
+    return rows.mapInArrow(cut, PASSAGE_SQL)
+
+
+def finer(found: DataFrame, size: int, gram_words: int) -> DataFrame:
+    """Passages cut by the anchors of longer grams, their groups; of equal ones in a group the first place."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        for batch in batches:
+            out = []
+            for _, k, t, at, a, s, p in zip(*(batch.column(c).to_pylist() for c in PASSAGE), strict=True):
+                w = p.split()
+                for sub, i, m in zip(*(x.tolist() for x in runs(words.hashes(w), size, gram_words)), strict=True):
+                    out.append((sub, k, t, at + i, a, s, b" ".join(w[i : i + m + size - 1])))
+            yield _batch(out, PASSAGE)
 
-    return rows.mapInArrow(cut, "anchor long, k long, s int, skip int, passage binary")
+    cut_rows = found.mapInArrow(cut, PASSAGE_SQL)
+    first = cut_rows.groupBy("sub", "passage").agg(F.min(F.struct("k", "t", "at", "anchor", "s")).alias("f"))
+    return first.select("sub", "f.k", "f.t", "f.at", "f.anchor", "f.s", "passage")
 
 
-def fresh_windows(found: DataFrame, size: int) -> DataFrame:
-    """(k, anchor, s, fresh): of the passages that have some, the windows (bits from the first on) that are new at the passage's first place."""
-    shards = found.repartition(partitions(found.sparkSession), "anchor").sortWithinPartitions("anchor", "k", "s", "skip", "passage")
+def fresh_windows(found: DataFrame, size: int, split: int = SPLIT) -> DataFrame:
+    """(k, t, anchor, s, fresh): of the passages that have some, the windows (bits from the run's first on) that are new at the passage's first place.
+
+    Groups of over split passages come back whole, as passages, and are dealt anew by longer grams.
+    """
+    kinds = {**PASSAGE, "fresh": pa.int64()}
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, seen, automaton = None, {}, None
+        own, seen, automaton, told, over = None, {}, None, [], False
         for batch in batches:
             out: list[tuple] = []
-            for a, k, s, skip, p in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if a != own or not seen:
-                    own, seen, automaton = a, {}, None
+            for row in zip(*(batch.column(c).to_pylist() for c in PASSAGE), strict=True):
+                sub, k, t, at, a, s, p = row
+                if sub != own or not seen:
+                    out += told
+                    own, seen, automaton, told, over = sub, {}, None, [], False
                 if p in seen:
                     continue
+                if over:
+                    out.append((*row, None))
+                    continue
+                if len(seen) == split:
+                    out += [(*r, None) for r in seen.values()]
+                    out.append((*row, None))
+                    seen, automaton, told, over = {None: None}, None, [], True
+                    continue
                 w = p.split()
                 if not seen:
                     fresh = (1 << (len(w) - size + 1)) - 1
@@ -268,31 +314,41 @@ def fresh_windows(found: DataFrame, size: int) -> DataFrame:
                         for q in seen:
                             automaton.feed(q.split())
                     fresh = sum(1 << i for i, n in enumerate(automaton.feed(w)[size - 1 :]) if n < size)
-                seen[p] = None
+                seen[p] = row
                 if fresh:
-                    out.append((k, a, s, fresh << skip))
-            columns = list(zip(*out, strict=True)) or [[]] * 4
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["k", "anchor", "s", "fresh"])
-
-    return shards.mapInArrow(stream, "k long, anchor long, s int, fresh long")
-
-
-def spans(df: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = 20) -> tuple[DataFrame, Callable]:
+                    told.append((sub, k, t, at, a, s, None, fresh << (at - s)))
+            yield _batch(out, kinds)
+        yield _batch(told, kinds)
+
+    out, grams = None, [g for g in (size - 4, size) if g > GRAM]
+    while True:
+        shards = found.repartition(partitions(found.sparkSession), "sub").sortWithinPartitions("sub", "k", "t", "at", "passage")
+        got = checkpointed(shards.mapInArrow(stream, PASSAGE_SQL + ", fresh long"))
+        told = got.where("fresh IS NOT NULL").select("k", "t", "anchor", "s", "fresh")
+        out = told if out is None else out.union(told)
+        left = got.where("fresh IS NULL").drop("fresh")
+        if not grams or left.isEmpty():
+            return out
+        found = finer(left, size, grams.pop(0))
+
+
+def spans(df: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = 20, split: int = SPLIT) -> tuple[DataFrame, Callable]:
     """Rows (k, text, fresh) and a function that gives, on executors, which words of such a row are removed."""
     if not GRAM < size < GRAM + 62:
         raise ValueError(f"windows of {GRAM + 1} to {GRAM + 61} words")
     rows = _rows(df, key, text)
     bitmap = share(df.sparkSession, marked(checkpointed(repeated_anchors(rows, size))))
-    fresh = fresh_windows(passages(rows, bitmap, size), size)
-    lists = fresh.groupBy("k").agg(F.collect_list(F.struct("s", "anchor", "fresh")).alias("fresh"))
-    joined = rows.join(lists.hint("shuffle_hash"), "k", "left")
+    fresh = fresh_windows(passages(rows, bitmap, size), size, split)
+    lists = fresh.groupBy(F.col("k").alias("k_"), F.col("t").alias("t_")).agg(F.collect_list(F.struct("s", "anchor", "fresh")).alias("fresh"))  # a text's own windows
+    joined = rows.join(lists, (F.col("k") == F.col("k_")) & F.col("t").eqNullSafe(F.col("t_")), "left").select("k", "text", "fresh")
 
     def make() -> Callable[[list[bytes], list | None], np.ndarray]:
         words, marks = Words(), bitmap()
 
         def gone(w: list[bytes], told: list | None) -> np.ndarray:
-            new = {(x["s"], x["anchor"]): x["fresh"] for x in told or ()}
+            new: dict[tuple[int, int], int] = {}
+            for x in told or ():
+                new[x["s"], x["anchor"]] = new.get((x["s"], x["anchor"]), 0) | x["fresh"]
             anchor, s, n = runs(words.hashes(w), size)
             hit = marks.hit(anchor)
             edge = np.zeros(len(w) + 1, np.int32)
@@ -313,8 +369,9 @@ def spans(df: DataFrame, *, key: str = "doc_id", text: str = "text", size: int =
     return joined, make
 
 
-def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, make = spans(table(spark, sf_dir, "documents"))
+def removed(df: DataFrame, **how) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_sha256) of each row."""
+    rows, make = spans(df, **how)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gone = None
@@ -334,6 +391,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removed(table(spark, sf_dir, "documents"))
+
+
 ORACLE = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 v AS (SELECT doc_id, i, sha256(array_to_string(ws[i:i+19], ' ')) AS win FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w WHERE len(ws) > 19)),
