@@ -62,7 +62,39 @@ def test_fingerprints(spark, folder):
         a, b, c = own.fingerprints([t, new, after])
         want.append((str(i), len(t), sha(new.encode()), a.hex(), b.hex(), fingerprints.likeness(a, b), fingerprints.likeness(a, c)))
     got = fingerprints.op2_fingerprints(spark, folder).collect()
-    assert sorted((str(r[0]), *r[1:]) for r in got) == sorted(want)
+    assert sorted((str(r[0]), *r[1:7]) for r in got) == sorted(want)
+    ids = {r.doc_id: r.class_id for r in got}
+    assert ids[4] == 1 and ids[3] == 2 and ids[6] == 6 and ids[None] is None
+
+
+def plain_walk(text, slots=128, seed=11):
+    """The fingerprint by a walk step by step."""
+    rng = np.random.default_rng(seed)
+    move = rng.random((256, 4096)) < 0.5
+    move[:, -1] |= ~move.any(axis=1)
+    noted = []
+    for c in text:
+        kind = (ord(c) * 2654435761 & 0xFFFFFFFF) >> 24
+        while True:
+            noted.append(c)
+            if move[kind, (len(noted) - 1) % 4096]:
+                break
+    out, steps = [], [[0] for _ in range(slots)]
+    draws = [np.maximum(rng.random(slots), 1e-9) for _ in range(95)]
+    for k in range(slots):
+        for d in draws:
+            far = (steps[k][-1] + 1.0) / d[k]
+            steps[k].append(int(far) if far < 2.0**50 else 2**60)
+        if noted:
+            step = max(s for s in steps[k] if s < len(noted))
+            out.append((ord(noted[step]) * 2246822519 + 374761393 & 0xFFFFFFFF) >> 24)
+    return bytes(out) or bytes(slots)
+
+
+def test_fingerprints_equal_a_plain_walk():
+    rng = np.random.default_rng(2)
+    texts = ["", "a", "aaaa", "日本🙂 é", *("".join(rng.choice(list("abc dé\n"), n)) for n in (3, 40, 900, 6000))]
+    assert fingerprints.Embedding().fingerprints(texts) == [plain_walk(t) for t in texts]
 
 
 def test_fingerprint_likeness_follows_edits():
