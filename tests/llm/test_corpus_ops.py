@@ -146,8 +146,12 @@ def test_simhash_cases(spark, folder):
 
 def test_components_of_long_paths_and_hubs(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(1000, i) for i in range(1001, 1200)] + [(5, 5), (3000, 2000), (2000, 3000)]
-    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = {r.node: r.component for r in components.components(df, small=0).collect()}
     assert all(got[i] == 0 for i in range(61)) and all(got[i] == 1000 for i in range(1000, 1200)) and got[3000] == 2000
+    assert {r.node: r.component for r in components.components(df).collect()} == got
+    none = components.components(df.where("a < 0"))
+    assert none.count() == 0 and components.components(df.where("a < 0"), small=-1).count() == 0
 
 
 def plain_lines(rows):
@@ -229,6 +233,35 @@ def test_substring_dedup(spark, tmp_path):
     assert sorted((str(r[0]), *r[1:]) for r in substrings.op10_substring_dedup(spark, where).collect()) == plain_substrings(rows, 20)
 
 
+def phrase_rows(rng, n, vocabulary=3000):
+    """Texts around one phrase: its anchor has a passage for each of them, some of whose windows repeat."""
+    phrase = " ".join(f"p{i}" for i in range(7))
+    words = [f"w{i}" for i in range(vocabulary)]
+    rows = []
+    for i in range(n):
+        before, after = (" ".join(rng.choice(words, 16)) for _ in range(2))
+        if i % 7 == 3:
+            after = rows[int(rng.integers(0, i))][1].partition(phrase)[2].strip()
+        rows.append((i, f"{before} {phrase} {after}"))
+    return rows
+
+
+@pytest.mark.parametrize("split", [3, 40])
+def test_substring_dedup_splits_hot_anchors(spark, split):
+    rows = phrase_rows(np.random.default_rng(5), 400) + [(1000 + i, " ".join(f"q{j}" for j in range(40)) + f" e{i}") for i in range(60)]
+    got = substrings.removed(documents(spark, rows).repartition(3), split=split).collect()
+    want = plain_substrings(rows, 20)
+    assert sorted((str(r[0]), *r[1:]) for r in got) == want and sum(r[2] > 0 for r in want) > 100
+
+
+def test_substring_dedup_of_different_texts_with_one_id(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    rows = [(1, f"{a} x"), (1, f"y {a}"), (1, f"{a} x"), (2, f"{b} {a}")]
+    got = sorted((r.doc_id, r.n_words, r.n_removed) for r in substrings.removed(documents(spark, rows)).collect())
+    # one of the two texts of 1 keeps the passage, with its equal row
+    assert got in ([(1, 31, 0), (1, 31, 0), (1, 31, 30), (2, 60, 30)], [(1, 31, 0), (1, 31, 30), (1, 31, 30), (2, 60, 30)])
+
+
 def test_automaton_matching_statistics():
     rng = np.random.default_rng(8)
     feed, before = substrings.Automaton(), []
@@ -260,28 +293,135 @@ def test_lm_scores(spark, sf):
 def test_lm_small_head_gives_the_same(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60").selectExpr("doc_id", "IF(doc_id % 7 = 0, NULL, text) AS text")
     counts = lm.token_counts(docs.where("doc_id % 3 <> 0")).cache()
-    model = lm.train_model(docs.where("doc_id % 3 <> 0").selectExpr("text", "doc_id % 2 = 1 AS dev"), "dev", counts)
+    model = lm.train_model(docs.where("doc_id % 3 <> 0").selectExpr("text", "doc_id % 8 AS batch"), "batch", counts)
     a, b = (sorted((r.doc_id, r.n_known, round(r.base_score, 6), round(r.score, 4)) for r in lm.score(docs, model, counts, head=h).collect()) for h in (3, 100_000))
     assert a == b and len(a) == 60
     empty = lm.token_counts(documents(spark, [])).cache()
-    nothing = lm.train_model(documents(spark, []).selectExpr("text", "true AS dev"), "dev", empty)
+    nothing = lm.train_model(documents(spark, []).selectExpr("text", "0 AS batch"), "batch", empty)
     assert {(round(r.base_score, 9), r.n_known) for r in lm.score(docs, nothing, empty).collect()} == {(0.0, 0)}
 
 
+TINY = lm.Shape(2, (6, 7, 6, 6), (7, 7, 7))
+
+
+def plain_rows(shape, words, word, context):
+    """The class and word rows of a token, by hand."""
+    spelled = {w: i for i, w in enumerate(words)}
+
+    def code(w):
+        return zlib.crc32(w) if spelled.get(w, 10**9) < shape.contexts else lm.rare_class(w)
+
+    def row(key, bits, salt):
+        h = ((key + salt) * 2654435761) & 0xFFFFFFFF
+        h ^= h >> 15
+        h = (h * 2246822519) & 0xFFFFFFFF
+        return h >> (32 - bits)
+
+    one, two, three = (code(w) if w != lm.END else zlib.crc32(lm.END) for w in (context[-1], context[-2], context[-3]))
+    kinds = [one, (two * 2246822519 + one) & 0xFFFFFFFF, two, three]
+    place = spelled.get(word, 10**9)
+    y = place // lm.MEMBERS if place < shape.frequent else shape.classes + lm.rare_class(word)
+    of = (y * 0x9E3779B9) & 0xFFFFFFFF
+    return y, place % lm.MEMBERS if place < shape.frequent else None, [row(k, b, j) for j, (k, b) in enumerate(zip(kinds, shape.class_bits, strict=True))], [row(k ^ of, b, j + 9) for j, (k, b) in enumerate(zip(kinds, shape.word_bits, strict=False))]
+
+
+def plain_score(m, counts, text):
+    """The log10 probability of a text, token by token."""
+    total, context, tables = 0.0, [lm.END] * 3, m.tables()
+    for w in lm.words(text):
+        y, member, rows, word_rows = plain_rows(m.shape, m.words, w, context)
+        logit = m.class_p.astype(float) + sum(t[r].astype(float) for t, r in zip(tables["class"], rows, strict=True))
+        total += (logit[y] - np.log(np.exp(logit).sum())) / np.log(10)
+        if member is None:
+            total += math.log10(counts.get(w, 0) + 0.1) - m.rare_z[y - m.shape.classes]
+        else:
+            logit = m.word_p[y].astype(float) + sum(t[r].astype(float) for t, r in zip(tables["word"], word_rows, strict=True))
+            total += (logit[member] - np.log(np.exp(logit).sum())) / np.log(10)
+        context.append(w)
+    return total
+
+
+def test_lm_score_equals_a_plain_walk(spark):
+    rng = np.random.default_rng(4)
+    vocabulary = [f"v{i}é" if i % 9 == 0 else f"v{i}" for i in range(300)]
+    rows = [(i, " ".join(rng.choice(vocabulary, rng.integers(0, 60), p=np.arange(300, 0, -1) / 45150))) for i in range(80)] + [(90, None), (91, "V1 v2 unseen other\tv3"), (92, "")]
+    docs = documents(spark, rows)
+    train = docs.where("doc_id % 4 <> 0").selectExpr("text", "doc_id % 8 AS batch")
+    counts = lm.token_counts(train).cache()
+    model = lm.train_model(train, "batch", counts, shape=TINY)
+    known = {bytes(r.token): r.c for r in counts.collect()}
+    got = {r.doc_id: r.score for r in lm.score(docs, model, counts, head=5).collect()}
+    assert all(math.isclose(got[i], plain_score(model, known, t), rel_tol=1e-4, abs_tol=1e-4) for i, t in rows)
+
+
+def test_lm_gradient_is_observed_less_expected(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(rng.choice([f"v{i}" for i in range(200)], 30))) for i in range(40)]
+    train = documents(spark, rows).selectExpr("text", "doc_id % 8 AS batch")
+    counts = lm.token_counts(train).cache()
+    model = lm.train_model(train, "batch", counts, shape=TINY, rounds=1)
+    want = np.zeros(len(model.weights))
+    tables, off = model.tables(), model.tables(want)
+    for _, t in rows:
+        context = [lm.END] * 3
+        for w in lm.words(t):
+            y, member, class_rows, word_rows = plain_rows(TINY, model.words, w, context)
+            for layer, found, own, base in (("class", class_rows, y, model.class_p), ("word", word_rows, member, None if member is None else model.word_p[y])):
+                if own is None:
+                    continue
+                logit = base.astype(float) + sum(x[r] for x, r in zip(tables[layer], found, strict=True))
+                p = np.exp(logit) / np.exp(logit).sum()
+                for x, r in zip(off[layer], found, strict=True):
+                    x[r] -= p
+                    x[r, own] += 1
+            context.append(w)
+    got = lm.gradient(train, model)
+    assert np.allclose(got, want, rtol=2e-2, atol=2e-3 * np.abs(want).max()) and np.abs(want).max() > 1
+
+
+def test_lm_learns_by_rounds(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    train, held = docs.where("doc_id % 5 <> 0").selectExpr("text", "doc_id % 8 AS batch"), docs.where("doc_id % 5 = 0")
+    counts = lm.token_counts(train).cache()
+    scores = []
+    for rounds in (0, 3):
+        model = lm.train_model(train, "batch", counts, rounds=rounds, classes=16)
+        r = lm.score(held, model, counts).selectExpr("sum(score) / sum(n_tokens) AS s", "sum(base_score) / sum(n_tokens) AS b").first()
+        scores.append(r.s)
+    assert r.b < scores[0] < scores[1]
+
+
+def test_lm_rows_grow_with_the_tokens():
+    assert lm.shape_for(0).word_bits == (15,) * 3 and lm.shape_for(90_000_000).word_bits == (16,) * 3 == lm.shape_for(10**12).word_bits
+    assert lm.shape_for(90_000_000).contexts == 4096 > lm.shape_for(0).contexts == 2048
+    shape = lm.Shape(4)
+    assert (shape.frequent, shape.out) == (256, 36) and shape.size > shape.cells("word").stop
+
+
 def test_lm_probabilities_sum_to_one():
     rng = np.random.default_rng(9)
-    frequent = [lm.END, *(f"w{i}".encode() for i in range(500))]
-    cells = rng.poisson(0.3, lm.CELLS).astype(np.int32)
-    model = lm.Model(frequent, rng.integers(1, 90, 501), np.array([[30.0] * lm.RARE, [10.0] * lm.RARE]), cells).scaled()
-    context = [3, 9]
+    words = [lm.END, *(f"w{i}".encode() for i in range(500))]
+    shape = lm.Shape()
+    cells = rng.poisson(0.3, shape.size).astype(np.int32)
+    model = lm.Model(shape, words, rng.integers(1, 90, 501), np.array([[30.0] * lm.RARE, [10.0] * lm.RARE]), cells)
     total = 0.0
-    for first in range(0, lm.FREQUENT + lm.RARE, 640):
-        ids = np.array([x for y in range(first, min(first + 640, lm.FREQUENT + lm.RARE)) for x in [*context, y]])
-        c = lm.Contexts(ids, np.arange(0, len(ids), 3), 0)
+    for first in range(0, shape.frequent + lm.RARE, 640):
+        out = np.array([x for y in range(first, min(first + 640, shape.frequent + lm.RARE)) for x in (3, 9, y)])
+        c = lm.Contexts(shape, out, out.astype(np.uint32) + np.uint32(77), np.arange(0, len(out), 3))
         total += np.exp(model.log_p(c)[2::3]).sum()
     assert math.isclose(total, 1.0, rel_tol=1e-3)
 
 
+def test_lm_blocks_are_packed():
+    rng = np.random.default_rng(3)
+    for kind, close in ((np.int32, 0), (np.float32, 1 / 250)):
+        x = (rng.normal(0, 1000, 5000) * (rng.random(5000) < 0.3)).astype(kind)
+        to = np.zeros(5000, np.int64 if kind is np.int32 else np.float64)
+        lm.unpack(lm.packed(x), to)
+        lm.unpack(lm.packed(np.zeros(5000, kind)), to)
+        assert np.allclose(to, x, rtol=close, atol=0)
+
+
 def test_pipeline(spark, sf, folder):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "decontamination", "byte_bpe"]
     out = {r.doc_id: r for r in corpus_pipeline.run(spark, folder).collect()}
@@ -299,3 +439,12 @@ def test_stages_take_empty_tables_and_clashing_columns(spark, folder):
             docs = stage(spark, docs, folder)
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "fp", "score", "_gone"]
         docs.count()
+
+
+def test_line_dedup_of_texts_with_many_chunks(spark):
+    """Time that grows with a text's length: 60,000 lines, all of them twice."""
+    half = "\n".join(f"line {i}" for i in range(30_000))
+    rows = [(1, half), (2, half + "\n" + half), (3, "line 5\nother")]
+    got = {r.doc_id: r for r in lines.dedup_lines(documents(spark, rows)).collect()}
+    want = plain_lines(rows)
+    assert {i: r.text for i, r in got.items()} == want and got[2]._n_removed > 50_000
