@@ -10,8 +10,9 @@ parser takes one backslash away. A turn's rendering does not depend on its neigh
 conversations are streamed turn by turn, and only one conversation is held at a time.
 
 Defined cases: null text and null role are empty; turns are ordered by turn, role, text, nulls
-first; repeated rows are turns of their own; a null conv_id is a conversation of its own. Only named
-columns are read.
+first; repeated rows are turns of their own; all rows of a null conv_id are one conversation. A
+conversation of any length is one text, and so held by one task, as its digests and offsets ask; the
+turns come to it in a stream. Only named columns are read, whatever else there is and however it is named.
 """
 
 from __future__ import annotations
@@ -103,7 +104,7 @@ def format_conversations(df: DataFrame, *, conv_id: str = "conv_id", turn: str =
             texts = [t for _, t in done]
             spans = [[{"start": a, "end": b} for a, b in loss_spans(t)] for t in texts]
             return pa.RecordBatch.from_arrays(
-                [pa.array([c for c, _ in done], id_type), pa.array(texts, pa.string()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
+                [pa.array([c for c, _ in done], id_type), pa.array(texts, pa.string()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
                 names=[conv_id, "formatted", "loss_spans"],
             )
 
@@ -124,7 +125,7 @@ def format_conversations(df: DataFrame, *, conv_id: str = "conv_id", turn: str =
             done.append((own, "".join(parts)))
             yield flushed()
 
-    return rows.mapInArrow(run, f"`{conv_id}` {kind}, formatted string, loss_spans array<struct<start:int,end:int>>")
+    return rows.mapInArrow(run, f"`{conv_id}` {kind}, formatted string, loss_spans array<struct<start:bigint,end:bigint>>")
 
 
 def digests(formatted: str) -> tuple[int, str, int, str, int]:
@@ -162,7 +163,7 @@ WITH c AS (
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
 e AS (
-  SELECT *, CASE WHEN text LIKE '%<|im_start|>%' OR text LIKE '%<|im_end|>%' OR regexp_matches(text, '<\\+\|')
+  SELECT *, CASE WHEN contains(text, '<|im_start|>') OR contains(text, '<|im_end|>') OR regexp_matches(text, '<\\+\|')
     THEN len(regexp_extract_all(text, '<\\*\|')) ELSE 0 END AS more FROM c)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
