@@ -154,6 +154,122 @@ def test_media(spark):
     assert len(s) == 3 and all(r["count"] == 8 and abs(r.mean * 255 - 1.5) < 1e-9 for r in s)
 
 
+def test_labels_and_png():
+    import struct
+    import zlib
+
+    frame = np.full((40, 60, 3), 9, np.uint8)
+    got = media.labelled(frame, "T1", scale=1)
+    assert (frame == 9).all() and got[1, 1:4, 0].tolist() == [255] * 3 and got[2, 1:4, 0].tolist() == [0, 255, 0] and (got[7:] == 9).all()
+    data = media.encode_png(frame, "a much longer label than fits 3.250s")
+    assert data[:8] == b"\x89PNG\r\n\x1a\n" and struct.unpack(">II", data[16:24]) == (60, 40)
+    n = struct.unpack(">I", data[33:37])[0]
+    lines = np.frombuffer(zlib.decompress(data[41 : 41 + n]), np.uint8).reshape(40, 181)
+    assert (lines[:, 0] == 0).all() and (lines[20:, 1:] == 9).all()
+    assert zlib.crc32(data[37 : 41 + n]) == struct.unpack(">I", data[41 + n : 45 + n])[0]
+
+
+def test_http_sender():
+    import io
+    import urllib.error
+
+    from epiframe.sources.model import HttpSender, Malformed, retry_waits
+
+    seen = []
+
+    def answering(result):
+        def open_(request, timeout):
+            seen.append((request.full_url, json.loads(request.data), timeout))
+            if isinstance(result, Exception):
+                raise result
+            return io.BytesIO(result)
+
+        return HttpSender("http://h/v1", "m", schema={"type": "object"}, open=open_)
+
+    good = json.dumps({"choices": [{"message": {"content": "yes"}}]}).encode()
+    assert answering(good)("p", sample(0, "top", [3], 10.0), 5.0) == "yes"
+    url, body, timeout = seen[0]
+    assert url == "http://h/v1/chat/completions" and timeout == 5.0 and [c["type"] for c in body["messages"][0]["content"]] == ["text", "text", "image_url"] and "response_format" in body
+    for bad in (b"[]", b"{}", b"x", json.dumps({"choices": [{"message": {"content": 1}}]}).encode()):
+        with pytest.raises(Malformed):
+            answering(bad)("p", [], 1.0)
+
+    def status(code, text=b""):
+        return urllib.error.HTTPError("http://h", code, "", {}, io.BytesIO(text))
+
+    for error in (status(503), status(429), TimeoutError(), ConnectionResetError(), urllib.error.URLError("x"), status(400, b"CUDA out of memory")):
+        with pytest.raises(Transient):
+            answering(error)("p", [], 1.0)
+    with pytest.raises(ModelCallError):
+        answering(status(400))("p", [], 1.0)
+    assert retry_waits(2) == (2.0,) and retry_waits([0, 1.5]) == (0.0, 1.5)
+    for bad in ([], "1", True, [True], [float("nan")], [-1], [10**400], None):
+        with pytest.raises(ValueError):
+            retry_waits(bad)
+
+
+def test_models_are_installed_and_recorded(tmp_path):
+    from epiframe.plans import models
+
+    sha = "a" * 40
+    assert models.resolve("own/model", sha, "hub", lambda url: 1 / 0) == sha
+    assert models.resolve("own/model", "main", "http://hub", lambda url: {"sha": sha} if url == "http://hub/api/models/own/model/revision/main" else {}) == sha
+    for answer in ({}, {"sha": "x"}, []):
+        with pytest.raises(models.RevisionError):
+            models.resolve("own/model", "main", "hub", lambda url, answer=answer: answer)
+    for bad in ("../x", "a b", "", "a/b/c"):
+        with pytest.raises(ValueError):
+            models.check_repo(bad)
+    calls = []
+    got = models.download("own/model", sha, tmp_path / "m", lambda args, env: calls.append((args[1], set(env) & set(models.PROXIES))))
+    assert [c for c, _ in calls] == ["download", "cache"] and not any(p for _, p in calls) and models.read_record(tmp_path / "m") == got
+
+    def failing(args, env):
+        if args[1] == "cache":
+            raise OSError("bad")
+
+    with pytest.raises(OSError):
+        models.download("own/model", sha, tmp_path / "m", failing)
+    with pytest.raises(ValueError):  # no record of what was not verified
+        models.read_record(tmp_path / "m")
+
+
+def test_decision_files(tmp_path):
+    from epiframe.plans import review_files
+
+    good = {"episode_index": 1, "source_fingerprint": "a" * 64, "run_fingerprint": "b" * 64, "mode": "complete", "start_subtask_index": 0, "boundaries": [3, 5]}
+    sinks.write_json(tmp_path / "d.json", good)
+    assert review_files.load_decision(tmp_path / "d.json") == good
+    for bad in ({**good, "note": 1}, {**good, "boundaries": [True]}, {**good, "episode_index": 1.0}, {**good, "mode": "x"}, {**good, "source_fingerprint": "A" * 64}, {k: v for k, v in good.items() if k != "mode"}):
+        with pytest.raises(ValueError):
+            review_files.check_decision(bad)
+    (tmp_path / "big.json").write_text('{"a": "' + "x" * (65 << 10) + '"}')
+    os.symlink(tmp_path / "d.json", tmp_path / "l.json")
+    for name in ("big.json", "l.json", "none.json"):
+        with pytest.raises(ValueError):
+            review_files.load_decision(tmp_path / name)
+
+
+def test_review_pages_and_videos(spark, tmp_path):
+    build(tmp_path / "source")
+    c, store, _ = annotated(spark, tmp_path)
+    info = json.loads((tmp_path / "source/meta/info.json").read_text())
+    v = Views(c, dict(enumerate(LENGTHS)), info)
+    x = v.episode(1)
+    assert x["videos"] == {"top": "/api/episodes/1/videos/0", "wrist": "/api/episodes/1/videos/1"} and x["candidates"] == [25, 26, 45, 46] or x["candidates"]
+    assert "<video" in v.answer("GET", "/episodes/1")[2]
+    assert v.video(1, 0, None)[::2] == (200, b"1 top") and v.video(1, 0, "bytes=2-")[::2] == (206, b"top") and v.video(1, 1, "bytes=-5")[2] == b"wrist" and v.video(1, 0, "bytes=9-")[0] == 416
+    with pytest.raises(KeyError):
+        v.video(9, 0, None)
+
+
+def test_levels_need_what_they_compare(spark, tmp_path):
+    with pytest.raises(ValueError):
+        release.validate(spark, str(tmp_path), "strict_deep")
+    with pytest.raises(ValueError):
+        release.validate(spark, str(tmp_path), "source_backed_legacy")
+
+
 def test_model_client():
     waits, answers = [], []
 
