@@ -206,16 +206,6 @@ def edited(text: str, after: str) -> str:
     return text[: len(text) - half] + after[:half]
 
 
-def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    embedding = Embedding()
-    prints = checkpointed(fingerprint(docs, embedding).select("fingerprint", F.col("doc_id").cast("long").alias("key_")))
-    own_class = small_enough(checkpointed(classes(prints, embedding.slots)))
-    got = with_next(docs, embedding)
-    class_id = F.coalesce("class_", "doc_id").alias("class_id")
-    return got.join(own_class, F.col("doc_id") == F.col("key_"), "left").select(*got.columns, class_id)
-
-
 def with_next(docs: DataFrame, embedding: Embedding) -> DataFrame:
     """Each document's fingerprint, that of its edited text, and their likeness, and that to the next document's."""
     shared = share(docs.sparkSession, embedding)
@@ -258,3 +248,7 @@ def with_next(docs: DataFrame, embedding: Embedding) -> DataFrame:
             raise AssertionError("a partition without the row that follows")
 
     return dealt_in_order(docs, "doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+
+
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_next(table(spark, sf_dir, "documents"), Embedding())

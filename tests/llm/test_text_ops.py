@@ -63,8 +63,8 @@ def test_fingerprints(spark, folder):
         want.append((str(i), len(t), sha(new.encode()), a.hex(), b.hex(), fingerprints.likeness(a, b), fingerprints.likeness(a, c)))
     got = fingerprints.op2_fingerprints(spark, folder).collect()
     assert sorted((str(r[0]), *r[1:7]) for r in got) == sorted(want)
-    ids = {r.doc_id: r.class_id for r in got}
-    assert ids[4] == 1 and ids[3] == 2 and ids[6] == 6 and ids[None] is None
+    prints = fingerprints.fingerprint(documents(spark), own).withColumnRenamed("doc_id", "key_").cache()
+    assert {r.key_: r.class_ for r in fingerprints.classes(prints, own.slots).collect()} == {4: 1, 3: 2}
 
 
 def plain_walk(text, slots=128, seed=11):
