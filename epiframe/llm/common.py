@@ -115,7 +115,9 @@ def share(spark: SparkSession, value) -> Callable:
     def get():
         import pickle
 
-        return pickle.loads(sent.value)
+        value = pickle.loads(sent.value)
+        sent.__dict__.pop("_value", None)  # the bytes need not stay beside what they stand for
+        return value
 
     return get
 

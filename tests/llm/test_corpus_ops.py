@@ -392,8 +392,8 @@ def test_lm_learns_by_rounds(spark, sf):
 
 
 def test_lm_rows_grow_with_the_tokens():
-    assert lm.shape_for(0).word_bits == (15,) * 3 and lm.shape_for(90_000_000).word_bits == (16,) * 3 == lm.shape_for(10**12).word_bits
-    assert lm.shape_for(90_000_000).contexts == 4096 > lm.shape_for(0).contexts == 2048
+    assert lm.shape_for(0).word_bits == (15,) * 3 and lm.shape_for(500_000_000).word_bits == (16,) * 3 == lm.shape_for(10**12).word_bits
+    assert lm.shape_for(500_000_000).contexts == 4096 > lm.shape_for(0).contexts == 2048
     shape = lm.Shape(4)
     assert (shape.frequent, shape.out) == (256, 36) and shape.size > shape.cells("word").stop
 
