@@ -9,7 +9,7 @@ first, which hold at most ``max_chars`` characters together (the documented boun
 classifier of fixed size); a single text of over a twentieth of ``max_chars`` is no training row.
 
 ``identified`` rejects documents: those without a letter, those most of whose letters are not of the
-learned alphabet (letters of two training rows at least), and those whose score is under
+learned alphabet (letters of one in a thousand training rows at least), and those whose score is under
 ``min_score``; 0.25 is what two decisions between equals give. With nothing learned there is no
 language to tell, and only documents without a letter go.
 
@@ -124,7 +124,7 @@ class Model:
         rows, lang = features(texts), np.array([x for _, x in labelled], object)
         fam = np.array([family(x) for x in lang], object)
         self.columns, weights = [], []
-        self.alphabet = "".join(sorted(c for c, n in Counter(c for t, _ in labelled for c in set(t)).items() if n > 1 and c.isalpha()))
+        self.alphabet = "".join(sorted(c for c, n in Counter(c for t, _ in labelled for c in set(t)).items() if 1000 * n >= len(labelled) and c.isalpha()))
 
         def learn(kind, a, b, sign):
             at = np.flatnonzero(sign)
