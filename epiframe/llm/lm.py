@@ -14,10 +14,10 @@ Training is distributed. Every training text is counted: the gradient of the lik
 unigram model is observed less expected counts of (feature, output) pairs, and as no feature is
 active yet, the expected counts follow from the feature's own count (by class, in the tables for words).
 Tasks give sparse blocks of these counts, which are added up block by block, and each weight takes its damped Newton step from
-them. Then come ROUNDS rounds of gradient updates of all weights, each on a batch of training texts of
-its own (one of BATCHES by crc32; the bound on what is worked through again): tasks add up observed less expected counts
+them. Then come ROUNDS rounds of gradient updates of all weights, to which all training texts are dealt (BATCHES
+by crc32, each in a round), so that each text is in one round at least: tasks add up observed less expected counts
 at the weights of the round, the driver adds the blocks and takes a step, scaled by the counts. The
-scores come from numpy over batches of tokens.
+scores come from numpy over batches of tokens. Tokens with the same rows have the same probabilities, which are made once a slice of texts.
 
 The token counts stay a table. The HEAD most frequent ones (bounded) go to the tasks; the counts of the
 other tokens of each document come by a shuffle join.
@@ -32,7 +32,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -49,12 +48,14 @@ HEAD = 250_000
 BLOCK = 1 << 16
 #: Texts are worked on in slices of so many bytes: a token takes some 200 bytes meanwhile.
 SLICE = 4 << 20
-#: Tokens whose probabilities are made at once: their rows stay in a core's cache.
-STEP = 1024
-#: Gradient rounds, of how many batches each takes one, its step, the most a weight's step is before that, and a cell's prior count.
+#: Contexts whose probabilities are made at once: their rows stay in a core's cache.
+STEP = 4096
+#: Gradient rounds, the batches that are dealt to them, a round's step, the most a weight's step is before that, and a cell's prior count.
 ROUNDS, BATCHES, RATE, MOST, PRIOR = 2, 8, 0.3, 1.5, 10.0
 #: What the weights of the first step are multiplied by, as several features say the same: for classes, for words.
 FIRST = (0.3, 0.5)
+#: A gradient round has a task for so many tokens of the whole training text, and so many tasks at least.
+TOKENS, FEWEST = 8_000_000, 2
 ONES = np.ones(256, np.float32)
 _WIDE = re.compile(rb"[\x80-\xff]{1,2}")
 
@@ -120,7 +121,7 @@ class Tokens:
         full = pc.binary_length(flat).to_numpy() > 0  # blanks at a text's ends give empty words
         ends = np.concatenate([[0], np.cumsum(full)])[ends]
         coded = flat.filter(pa.array(full)).dictionary_encode()
-        self.unique = [*coded.dictionary.cast(pa.binary()).to_pylist(), END]
+        self.unique = pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([END], pa.binary())])
         self.sizes = np.diff(ends) + 1
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.index = np.full(int(self.sizes.sum()), len(self.unique) - 1, np.int32)
@@ -135,39 +136,43 @@ def rare_class(word: bytes) -> int:
     return zlib.crc32(wide[0]) % 8 if wide else 8 + zlib.crc32(word[-2:]) % (RARE - 8)
 
 
-class Ids(dict):
-    """Token to a number: its place among the tokens at hand, the frequent first, then others as they come.
+class Ids:
+    """Tokens to numbers: the place among the tokens at hand, the frequent first; that of all others is FAR."""
 
-    ``out`` and ``hash`` say for each number which output it is (from the shape's frequent on: the spelling class) and
-    what it is as a context: itself, or if it is none of the shape's first words its spelling class.
-    """
+    FAR = np.iinfo(np.int32).max
 
     def __init__(self, shape: Shape, known: list[bytes]):
         """known: the tokens at hand, the most frequent first, with at least those that the shape has use for."""
-        self.shape, self.known = shape, list(known)
-        self.most = len(self.known) + 150_000
-        self._start()
-
-    def _start(self) -> None:
-        self.clear()
-        self.update((w, i) for i, w in enumerate(self.known))
-        f = self.shape.frequent
-        self.out = array("i", [i if i < f else f + rare_class(w) for i, w in enumerate(self.known)])
-        self.hash = array("I", [zlib.crc32(w) if i < self.shape.contexts else rare_class(w) for i, w in enumerate(self.known)])
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = got = len(self.out)
-        own = rare_class(word)
-        self.out.append(self.shape.frequent + own)
-        self.hash.append(own)
-        return got
+        self.shape, self.known = shape, pa.array(known, pa.binary())
+        self.code = np.array([zlib.crc32(w) for w in known[: shape.contexts]] or [0], np.uint32)
+        self.one = np.array([zlib.crc32(bytes([a])) for a in range(256)], np.uint32)
+        self.two = np.array([zlib.crc32(bytes([a, b])) for a in range(256) for b in range(256)], np.uint32)
+
+    def rare_classes(self, words: pa.Array) -> np.ndarray:
+        """rare_class of each of the words, none of them empty."""
+        _, offsets, data = words.buffers()
+        ends = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1]
+        data = np.frombuffer(data, np.uint8)
+        last, before = data[ends[1:] - 1], data[np.maximum(ends[1:] - 2, 0)].astype(np.int32)
+        out = 8 + np.where(np.diff(ends) > 1, self.two[before << 8 | last], self.one[last]) % (RARE - 8)
+        wide = np.flatnonzero(data[ends[0] : ends[-1]] >= 0x80) + ends[0]
+        word = np.searchsorted(ends, wide, "right") - 1
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        at, word = wide[first], word[first]
+        after = data[np.minimum(at + 1, len(data) - 1)]
+        pair = self.two[data[at].astype(np.int32) << 8 | after]
+        out[word] = np.where((at + 1 < ends[word + 1]) & (after >= 0x80), pair, self.one[data[at]]) % 8
+        return out.astype(np.int32)
 
     def numbers(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The tokens as numbers, outputs and contexts."""
-        if len(self) > self.most:
-            self._start()
-        n = np.fromiter(map(self.__getitem__, tokens.unique), np.int32, len(tokens.unique))
-        return n[tokens.index], np.frombuffer(self.out, np.int32)[n][tokens.index], np.frombuffer(self.hash, np.uint32)[n][tokens.index]
+        """The tokens as numbers, outputs (from the shape's frequent on: the spelling class) and contexts (itself, or if it is none of the shape's first words its spelling class)."""
+        import pyarrow.compute as pc
+
+        n = pc.fill_null(pc.index_in(tokens.unique, self.known), self.FAR).to_numpy()
+        rare, f = self.rare_classes(tokens.unique), self.shape.frequent
+        out = np.where(n < f, n, f + rare)
+        own = np.where(n < self.shape.contexts, self.code[np.minimum(n, len(self.code) - 1)], rare.astype(np.uint32))
+        return n[tokens.index], out[tokens.index], own[tokens.index]
 
     def contexts(self, tokens: Tokens) -> Contexts:
         _, out, code = self.numbers(tokens)
@@ -207,6 +212,19 @@ class Contexts:
         self.rows = [mixed(k, 1 << b, j).astype(np.int32) for j, (k, b) in enumerate(zip(kinds, shape.class_bits, strict=True))]
         self.word_rows = [mixed(k[self.at] ^ of, 1 << b, j + 9).astype(np.int32) for j, (k, b) in enumerate(zip(kinds, shape.word_bits, strict=False))]
 
+    def distinct(self, layer: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The tokens of a layer (of the words': places in ``at``) so that those of the same rows and base stand together; where each such context starts; where each run of contexts of the same first three rows does."""
+        rows, bits = (self.rows, self.shape.class_bits) if layer == "class" else (self.word_rows, self.shape.word_bits)
+        key = np.zeros(len(rows[0]), np.int64) if layer == "class" else self.y[self.at].astype(np.int64)
+        for r, b in zip(rows, bits, strict=True):
+            key <<= b
+            key |= r
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        key = key[first]
+        return order, first, np.flatnonzero(np.diff(key >> sum(bits[3:]), prepend=-1))
+
     def observed(self, cells: np.ndarray, by_class: bool = True) -> None:
         """Adds the counts of (row, output) to cells."""
         for layer, j, at, rows, wide in self.shape.tables():
@@ -217,6 +235,30 @@ class Contexts:
             np.add(own, np.bincount(row * wide + y, minlength=rows * wide), out=own, casting="unsafe")
 
 
+def row_sums(row: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted rows, each once, and the sums of their values, which are changed. Neighbours are added in pairs, then pairs, and so on: reduceat would take each column of each row by itself."""
+    new = np.ones(len(row), bool)
+    np.not_equal(row[1:], row[:-1], out=new[1:])
+    start = np.flatnonzero(new)
+    if len(start) == len(row):
+        return row, values
+    place = np.arange(len(row)) - start[np.cumsum(new) - 1]
+    left, by = np.flatnonzero(place), 1
+    while len(left):
+        odd = place[left] & by > 0
+        at = left[odd]
+        values[at - by] += values[at]
+        left, by = left[~odd], by * 2
+    return row[start], values[start]
+
+
+def take_off(to: np.ndarray, row: np.ndarray, values: np.ndarray) -> None:
+    """Takes each row's values off to's row."""
+    order = np.argsort(row)
+    row, values = row_sums(row[order], values[order])
+    to[row] -= values
+
+
 class Model:
     """Weights of all tables in one array, as ``Shape.tables`` deals it."""
 
@@ -224,6 +266,7 @@ class Model:
         """words: the most frequent, as many as the shape has use for, with their counts; rare: (counts, distinct tokens) by spelling class; cells: the observed counts."""
         self.shape, self.words, self.counts = shape, words, counts
         self.end = words.index(END)
+        self.tokens = int(counts[: shape.frequent].sum() + rare[0].sum())
         n = np.zeros(shape.frequent)
         n[: len(counts)] = counts[: shape.frequent]
         n = n.reshape(shape.classes, MEMBERS)
@@ -266,45 +309,59 @@ class Model:
         return out
 
     def _layers(self, c: Contexts) -> Iterator[tuple]:
-        """(layer, rows, base, outputs, places) for STEP tokens at a time."""
-        for i in range(0, len(c.y), STEP):
-            part = slice(i, i + STEP)
-            yield "class", [r[part] for r in c.rows], self.class_p, c.y[part], part
-        for i in range(0, len(c.at), STEP):
-            part = slice(i, i + STEP)
-            at = c.at[part]
-            yield "word", [r[part] for r in c.word_rows], self.word_p[c.y[at]], c.member[part], at
+        """(layer, tokens, context of each, rows of the contexts, runs, logits) for STEP contexts at a time, tokens in contexts' order; runs: how many contexts each run has whose first three rows are the same."""
+        tables = self.tables()
+        room = np.empty((2, STEP * max(self.shape.out, MEMBERS)), np.float32)
+        for layer, own in (("class", c.rows), ("word", c.word_rows)):
+            order, first, run = c.distinct(layer)
+            ends = np.append(first, len(order))
+            for i in range(0, len(first), STEP):
+                n = min(STEP, len(first) - i)
+                tokens = order[ends[i] : ends[i + n]]
+                context = np.repeat(np.arange(n), np.diff(ends[i : i + n + 1]))
+                lead = order[first[i : i + n]]
+                rows = [r[lead] for r in own]
+                start = np.concatenate([[0], run[np.searchsorted(run, i + 1) : np.searchsorted(run, i + n)] - i])
+                runs = np.diff(np.append(start, n))
+                head = [r[start] for r in rows[:3]]
+                wide = tables[layer][0].shape[1]
+                few, more = (x[: len(start) * wide].reshape(-1, wide) for x in room)
+                np.take(tables[layer][0], head[0], 0, few, "clip")
+                for t, r in zip(tables[layer][1:3], head[1:], strict=True):
+                    np.take(t, r, 0, more, "clip")
+                    few += more
+                few += self.class_p if layer == "class" else self.word_p[c.y[c.at[lead[start]]]]
+                if layer == "class":
+                    logit = np.repeat(few, runs, 0)
+                    more = room[1, : n * wide].reshape(-1, wide)
+                    np.take(tables[layer][3], rows[3], 0, more, "clip")
+                    logit += more
+                else:
+                    logit = few
+                yield layer, tokens, context, rows, runs, logit
 
     def log_p(self, c: Contexts) -> np.ndarray:
         """Natural logs of the probability of each token's class, and, if frequent, of it within the class."""
-        out, tables = np.zeros(len(c.y)), self.tables()
-        room = np.empty((2, STEP * max(self.shape.out, MEMBERS)), np.float32)
-        every = np.arange(STEP)
-        for layer, rows, base, y, at in self._layers(c):
-            w, n, wide = tables[layer], len(y), base.shape[-1]
-            logit, more = (x[: n * wide].reshape(n, wide) for x in room)
-            np.take(w[0], rows[0], 0, logit, "clip")
-            for t, r in zip(w[1:], rows[1:], strict=True):
-                np.take(t, r, 0, more, "clip")
-                logit += more
-            logit += base
-            own = logit[every[:n], y]
+        out = np.zeros(len(c.y))
+        for layer, tokens, context, _, _, logit in self._layers(c):
+            y, at = (c.y[tokens], tokens) if layer == "class" else (c.member[tokens], c.at[tokens])
+            own = logit[context, y]
             np.exp(logit, out=logit)
-            out[at] += own - np.log(logit @ ONES[:wide])
+            out[at] += own - np.log(logit @ ONES[: logit.shape[1]])[context]
         return out
 
     def expected(self, c: Contexts, cells: np.ndarray) -> None:
         """Takes the expected counts of (row, output) off cells."""
-        tables, off = self.tables(), self.tables(cells)
-        for layer, rows, base, _, _ in self._layers(c):
-            p = base + sum(t[r] for t, r in zip(tables[layer], rows, strict=True))
+        off = self.tables(cells)
+        for layer, _, context, rows, runs, p in self._layers(c):
             np.exp(p, out=p)
-            p /= (p @ ONES[: p.shape[1]])[:, None]
-            for t, r in zip(off[layer], rows, strict=True):
-                order = np.argsort(r, kind="stable")
-                row = r[order]
-                first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-                t[row[first]] -= np.add.reduceat(p[order], first, axis=0)
+            p *= (np.bincount(context) / (p @ ONES[: p.shape[1]])).astype(np.float32)[:, None]
+            if layer == "class":
+                take_off(off[layer][3], rows[3], p)
+            at, p = row_sums(np.repeat(np.arange(len(runs)), runs), p)
+            start = np.cumsum(runs) - runs
+            for t, r in zip(off[layer][:3], rows[:3], strict=True):
+                take_off(t, r[start], p)
 
     def update(self, gradient: np.ndarray, cells: np.ndarray, share: float) -> None:
         """A step by a batch's gradient, scaled by the counts that the batch, a share of the texts, would have."""
@@ -332,7 +389,7 @@ def token_counts(train: DataFrame) -> DataFrame:
 
         had = seen.get
         for _, t in _text_batches(batches):
-            for w, n in zip(t.unique, np.bincount(t.index, minlength=len(t.unique)).tolist(), strict=True):
+            for w, n in zip(t.unique.to_pylist(), np.bincount(t.index, minlength=len(t.unique)).tolist(), strict=True):
                 seen[w] = had(w, 0) + n
             if len(seen) > 1_000_000:
                 yield out()
@@ -420,9 +477,9 @@ def gradient(batch: DataFrame, model: Model) -> np.ndarray:
 
         return add
 
-    # a batch is some megabytes of each partition: as many tasks as have work for a whole gradient
+    # each task gives a whole gradient, some 16 MB: as many tasks as have work for it
     rows = batch.select("text")
-    tasks = max(1, -(-rows.rdd.getNumPartitions() * 2 // BATCHES))
+    tasks = max(1, min(rows.rdd.getNumPartitions(), max(FEWEST, model.tokens // TOKENS)))
     return summed(rows.coalesce(tasks), make, np.dtype(np.float32), len(model.weights))
 
 
@@ -474,7 +531,7 @@ def head_of(counts: DataFrame, most: int = HEAD) -> Head:
 
 
 def train_model(train: DataFrame, batch: str, counts: DataFrame, *, classes: int = 32, rounds: int = ROUNDS, shape: Shape | None = None, head: Head | None = None) -> Model:
-    """A model of the texts of train (text, and batch: a number from 0 to BATCHES - 1 that deals them to gradient batches)."""
+    """A model of the texts of train (text, and batch: a number from 0 to BATCHES - 1 that deals them to the rounds, all of them)."""
     head = head or head_of(counts)
     shape = shape or shape_for(head.total, classes)
     # the end is an output whatever its count
@@ -483,8 +540,10 @@ def train_model(train: DataFrame, batch: str, counts: DataFrame, *, classes: int
     rare = rare_totals(counts, [w for w, _ in own[: shape.frequent]])
     cells = gathered(train, shape, [w for w, _ in rows])
     model = Model(shape, [w for w, _ in own], np.array([c for _, c in own], float), rare, cells)
+    parts = min(rounds, BATCHES)
     for r in range(rounds):
-        model.update(gradient(train.where(F.col(batch) == r % BATCHES), model), cells, 1 / BATCHES)
+        at = r % parts  # every text is in one round at least
+        model.update(gradient(train.where(F.col(batch) % parts == at), model), cells, len(range(at, BATCHES, parts)) / BATCHES)
     return model
 
 
@@ -519,7 +578,7 @@ def score(df: DataFrame, model: Model, counts: DataFrame, *, text: str = "text",
             rare = np.flatnonzero(own >= m.shape.frequent)
             p[rare] += log[rare] - m.rare_z[own[rare] - m.shape.frequent]
             far = np.flatnonzero(~there)
-            rest = pa.ListArray.from_arrays(pa.array(np.searchsorted(far, np.append(starts, len(number))).astype(np.int32)), pa.array(tokens.unique, pa.binary()).take(pa.array(tokens.index[far])))
+            rest = pa.ListArray.from_arrays(pa.array(np.searchsorted(far, np.append(starts, len(number))).astype(np.int32)), tokens.unique.take(pa.array(tokens.index[far])))
             known = np.add.reduceat(there.astype(np.int64), starts)
             seen = known if m.counts[m.end] else known - 1  # without training texts not even the end is known
             values = [sizes, seen, np.add.reduceat(log, starts), np.add.reduceat(p, starts), sizes - known]

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import TEXTS, documents, written
 
@@ -391,6 +392,54 @@ def test_lm_learns_by_rounds(spark, sf):
     assert r.b < scores[0] < scores[1]
 
 
+def test_lm_rounds_take_all_training_texts(spark, monkeypatch):
+    train = documents(spark, [(i, f"t{i} and more") for i in range(41)]).selectExpr("text", "doc_id % 8 AS batch")
+    counts = lm.token_counts(train).cache()
+    seen, shares = [], []
+    gradient, update = lm.gradient, lm.Model.update
+    monkeypatch.setattr(lm, "gradient", lambda batch, model: seen.append([r.text for r in batch.collect()]) or gradient(batch, model))
+    monkeypatch.setattr(lm.Model, "update", lambda self, g, cells, share: shares.append(share) or update(self, g, cells, share))
+    for rounds in (lm.ROUNDS, 1, 3, 9):
+        seen.clear(), shares.clear()
+        lm.train_model(train, "batch", counts, shape=TINY, rounds=rounds)
+        assert len(seen) == rounds and {t for part in seen for t in part} == {r.text for r in train.collect()}
+        assert math.isclose(sum(shares[:8]), 1) and sum(map(len, seen[:8])) == 41
+
+
+def test_lm_equal_contexts_are_one():
+    """The expected counts of tokens whose rows repeat, of one row and of many, are those of the tokens one by one."""
+    rng = np.random.default_rng(8)
+    words = [lm.END, *(f"w{i}".encode() for i in range(200))]
+    for n, most in ((1, 3), (5000, 3), (9000, 160)):
+        model = lm.Model(TINY, words, rng.integers(1, 90, 201), np.ones((2, lm.RARE)), rng.poisson(0.5, TINY.size).astype(np.int32))
+        out = rng.integers(0, most, n)
+        c = lm.Contexts(TINY, out, out.astype(np.uint32) + np.uint32(5), np.arange(0, n, 9))
+        got, want = np.zeros(len(model.weights), np.float32), np.zeros(len(model.weights))
+        model.expected(c, got)
+        for layer, rows, base, y in (("class", c.rows, model.class_p[None, :].repeat(n, 0), c.y), ("word", c.word_rows, model.word_p[c.y[c.at]], c.member)):
+            p = np.exp(base + sum(t[r].astype(float) for t, r in zip(model.tables()[layer], rows, strict=True)))
+            p /= p.sum(axis=1, keepdims=True)
+            for t, r in zip(model.tables(want)[layer], rows, strict=True):
+                np.subtract.at(t, r, p)
+        assert np.allclose(got, want, rtol=1e-4, atol=1e-3)
+        assert len(c.distinct("class")[1]) < max(2, n) and len(np.unique(c.distinct("class")[0])) == n
+
+
+def test_lm_tokens_as_numbers():
+    texts = ["a bc é éa aé xéé Ab \u65e5\u672c x\u65e5 the", None, "", " the\tend of ab \U0001f600 q\u00df"]
+    tokens = lm.Tokens(pa.array(texts, pa.string()))
+    plain = [w for t in texts for w in lm.words(t)]
+    assert [tokens.unique[i].as_py() for i in tokens.index] == plain
+    shape = lm.Shape(1)
+    known = [lm.END, b"the", *(f"k{i}".encode() for i in range(5000)), b"ab", b"of"]
+    for part in (known, known[:2]):
+        number, out, code = lm.Ids(shape, part).numbers(tokens)
+        place = {w: i for i, w in enumerate(part)}
+        assert number.tolist() == [place.get(w, lm.Ids.FAR) for w in plain]
+        assert out.tolist() == [place[w] if place.get(w, 10**9) < 64 else 64 + lm.rare_class(w) for w in plain]
+        assert code.tolist() == [zlib.crc32(w) if place.get(w, 10**9) < shape.contexts else lm.rare_class(w) for w in plain]
+
+
 def test_lm_rows_grow_with_the_tokens():
     assert lm.shape_for(0).word_bits == (15,) * 3 and lm.shape_for(500_000_000).word_bits == (16,) * 3 == lm.shape_for(10**12).word_bits
     assert lm.shape_for(500_000_000).contexts == 4096 > lm.shape_for(0).contexts == 2048
