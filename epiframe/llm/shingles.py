@@ -8,8 +8,8 @@ size), so documents meet in the buckets of these shingles and no alike pair is m
 shingles from there on bound their overlap. Then the pigeonring prunes: fingerprints of the sets pass if a chain of their segments
 stays within the proportional budgets of MAX_BITS, and the full Hamming distance within MAX_BITS, which alike sets
 exceed with a probability of 1e-5 at 5 shingles and under 1e-8 from 6 on. What passes is verified by the
-whole sets. Which shingles are rare is counted on a share of the documents: any order gives the same links, a good one
-small buckets.
+whole sets. Which shingles are rare is counted on all documents, by the first 48 bits of their hashes: any order gives
+the same links, a good one small buckets.
 
 Equal sets are one node. ``linking`` connects all alike nodes; groups are connected components.
 Defined cases are those of ``simhash``: texts without words are alike, texts of fewer words than a
@@ -32,10 +32,10 @@ from .common import checkpointed, map_texts, share, slices, small_enough
 from .components import components
 from .simhash import fingerprint, hashes, survives
 
-#: For the order: the share of the documents whose shingles are counted, and how many of these are taken.
-SHARE, COUNTED = 0.25, 2_000_000
-#: Counts are added up in parts of the hashes' range.
-PARTS = 256
+#: For the order: how many of the most frequent shingles are taken; all others are rare.
+COUNTED = 2_000_000
+#: Counts are added up in parts of the hashes' range, by so many bits after those of the part.
+PARTS, BITS = 256, 40
 #: The pigeonring's budget of differing bits, and its segments.
 MAX_BITS, SEGMENTS = 26, 4
 #: Pairs of one node that are compared in one place.
@@ -55,45 +55,62 @@ def digest(own: np.ndarray) -> int:
 
 
 def prefix(own: np.ndarray, least: float, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The first shingles of a set, in order; common: sorted shingles whose counts are known."""
+    """The first shingles of a set, in order; common: sorted shingles, as ``cut``, whose counts are known."""
     n = len(own)
     if not n:
         return own
     rank = np.zeros(n, np.int64)
     if len(common):
-        at = np.minimum(np.searchsorted(common, own), len(common) - 1)
-        rank = np.where(common[at] == own, counts[at], 0)
+        key = cut(own)
+        at = np.minimum(np.searchsorted(common, key), len(common) - 1)
+        rank = np.where(common[at] == key, counts[at], 0)
     return own[np.lexsort((own, rank))][: n - int(np.ceil(least * n - 1e-9)) + 1]
 
 
+def cut(own: np.ndarray) -> np.ndarray:
+    """The bits of shingles by which they are counted."""
+    return own >> np.uint64(56 - BITS)
+
+
 def common_shingles(docs: DataFrame, *, text: str, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles of several documents of a share of them, sorted, and their counts: the most frequent, bounded.
+    """Shingles of several documents, as ``cut``, sorted, and in how many of all documents they are: the most frequent, bounded.
 
-    A part of the hashes' range goes as arrays of sorted hashes and counts, a slice of texts at a time.
+    A part of the hashes' range goes as arrays of sorted hashes (5 bytes each) and counts, a slice of texts at a time;
+    those that a slice has once stand last, without counts.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in slices(b, "text", SLICE):
-                s, c = np.unique(np.concatenate([np.zeros(0, np.uint64), *(shingle_set(t, size) for t in part.column(0).to_pylist())]), return_counts=True)
-                ends = np.searchsorted(s >> np.uint64(56), np.arange(PARTS + 1))
-                cuts = [(i, a, z) for i, (a, z) in enumerate(itertools.pairwise(ends.tolist())) if z > a]
-                columns = [i for i, _, _ in cuts], [s[a:z].tobytes() for _, a, z in cuts], [np.minimum(c[a:z], 65535).astype(np.uint16).tobytes() for _, a, z in cuts]
+                s, c = np.unique(np.concatenate([np.zeros(0, np.uint64), *(cut(shingle_set(t, size)) for t in part.column(0).to_pylist())]), return_counts=True)
+                ends = np.searchsorted(s >> np.uint64(BITS), np.arange(PARTS + 1))
+                low = np.ascontiguousarray(s.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : BITS // 8])
+                columns = [], [], []
+                for i, (a, z) in enumerate(itertools.pairwise(ends.tolist())):
+                    if z > a:
+                        once = c[a:z] == 1
+                        columns[0].append(i)
+                        columns[1].append(low[a:z][~once].tobytes() + low[a:z][once].tobytes())
+                        columns[2].append(c[a:z][~once].astype(np.uint32).tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["part", "s", "c"])
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
         for b in batches:
             for i, s, c in zip(*(x.to_pylist() for x in b.columns), strict=True):
-                held.setdefault(i, []).append((np.frombuffer(s, np.uint64), np.frombuffer(c, np.uint16)))
-        for own in held.values():
-            s, at = np.unique(np.concatenate([s for s, _ in own]), return_inverse=True)
-            c = np.bincount(at, np.concatenate([c for _, c in own])).astype(np.int64)
+                held.setdefault(i, []).append((np.frombuffer(s, np.uint8), np.frombuffer(c, np.uint32)))
+        for i, own in held.items():
+            low = np.concatenate([s for s, _ in own]).reshape(-1, BITS // 8)
+            c = np.concatenate([np.append(c, np.ones(len(s) // (BITS // 8) - len(c), np.uint32)) for s, c in own])
+            own.clear()
+            s = np.zeros((len(low), 8), np.uint8)
+            s[:, : BITS // 8] = low
+            s, at = np.unique(s.view("<u8").ravel(), return_inverse=True)
+            c = np.bincount(at, c).astype(np.int64)
             often = c > 2
-            yield pa.RecordBatch.from_arrays([pa.array(s[often].view(np.int64)), pa.array(c[often])], names=["s", "count"])
+            yield pa.RecordBatch.from_arrays([pa.array(s[often].view(np.int64) + (i << BITS)), pa.array(c[often])], names=["s", "count"])
 
-    some = docs.select(F.col(text).alias("text")).sample(SHARE, seed=3)
-    sums = some.mapInArrow(count, "part int, s binary, c binary").repartition(PARTS, "part").mapInArrow(total, "s long, count long")
+    sums = docs.select(F.col(text).alias("text")).mapInArrow(count, "part int, s binary, c binary").repartition(PARTS, "part").mapInArrow(total, "s long, count long")
     found = sums.orderBy(F.desc("count"), "s").limit(COUNTED).toArrow()
     s, c = found["s"].to_numpy().view(np.uint64), np.minimum(found["count"].to_numpy(), 2**31 - 1).astype(np.int32)
     order = np.argsort(s)
